@@ -7,16 +7,24 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec
+from . import bpe_codec, byte_cnn, repetition_rules
 from .common import table
 
 
+def op4_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition_rules.score_repetition(table(spark, sf_dir, "documents"))
+
+
+def op5_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_cnn.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_bpe_codec": op7_bpe_codec}
+    return {f.__name__: f for f in (op4_repetition_rules, op5_byte_cnn, op7_bpe_codec)}
 
 
 def oracle_sql() -> dict[str, str]:
