@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, byte_cnn, repetition_rules
+from . import bpe_codec, byte_cnn, id_store, language_id, repetition_rules
 from .common import table
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.train_and_identify(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op4_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules.score_repetition(table(spark, sf_dir, "documents"))
 
@@ -23,8 +27,13 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = id_store.write_store(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return id_store.read_store(spark, store)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_repetition_rules, op5_byte_cnn, op7_bpe_codec)}
+    return {f.__name__: f for f in (op2_language_id, op4_repetition_rules, op5_byte_cnn, op7_bpe_codec, op8_id_store)}
 
 
 def oracle_sql() -> dict[str, str]:
