@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, byte_cnn, id_store, language_id, repetition_rules
+from . import bpe_codec, byte_cnn, id_store, language_id, repetition_rules, severity
 from .common import table
 
 
@@ -32,8 +32,12 @@ def op8_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_store.read_store(spark, store)
 
 
+def op9_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return severity.score_severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_id, op4_repetition_rules, op5_byte_cnn, op7_bpe_codec, op8_id_store)}
+    return {f.__name__: f for f in (op2_language_id, op4_repetition_rules, op5_byte_cnn, op7_bpe_codec, op8_id_store, op9_severity)}
 
 
 def oracle_sql() -> dict[str, str]:
