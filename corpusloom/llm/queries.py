@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, byte_cnn, id_store, language_id, repetition_rules, severity
+from . import bpe_codec, byte_cnn, id_store, language_id, repetition_rules, severity, simhash_dedup
 from .common import table
 
 
@@ -15,6 +15,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.train_and_identify(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules.score_repetition(table(spark, sf_dir, "documents"))
 
@@ -37,7 +41,7 @@ def op9_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_id, op4_repetition_rules, op5_byte_cnn, op7_bpe_codec, op8_id_store, op9_severity)}
+    return {f.__name__: f for f in (op2_language_id, op3_simhash_dedup, op4_repetition_rules, op5_byte_cnn, op7_bpe_codec, op8_id_store, op9_severity)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -84,28 +84,24 @@ def _signed(x: int) -> int:
 
 
 def embedded(fp: Column) -> Column:
-    """The 32 segment bit counts in one long, two bits each."""
-    low = F.lit(0x5555555555555555)
-    return fp.bitwiseAND(low) + F.shiftrightunsigned(fp, 1).bitwiseAND(low)
+    """The 32 segment bit counts in one long, each in unary: 00, 01 or 11 for 0, 1 or 2."""
+    low, high = F.lit(0x5555555555555555), F.lit(_signed(0xAAAAAAAAAAAAAAAA))
+    some = fp.bitwiseOR(F.shiftrightunsigned(fp, 1)).bitwiseAND(low)
+    return some.bitwiseOR(fp.bitwiseAND(F.shiftleft(fp, 1)).bitwiseAND(high))
 
 
 def manhattan(a: Column, b: Column) -> Column:
-    """The Manhattan distance of two embedded points.
-
-    Coordinates are 0, 1 or 2 (binary 00, 01, 10). They are mapped to the unary 00, 01, 11, in which the
-    differing bits of two coordinates are as many as the coordinates are apart.
-    """
-    unary = lambda x: x.bitwiseOR(F.shiftrightunsigned(x.bitwiseAND(F.lit(_signed(0xAAAAAAAAAAAAAAAA))), 1))
-    return F.bit_count(unary(a).bitwiseXOR(unary(b)))
+    """The Manhattan distance of two embedded points: unary coordinates differ in as many bits as they are apart."""
+    return F.bit_count(a.bitwiseXOR(b))
 
 
 def cells(points: DataFrame, distance: int, slabs: int) -> DataFrame:
-    """A row for each point (fp) and choice of slabs: ``cell``, a hash of the choice and its coordinates."""
+    """A row for each point (fp, with its other columns) and choice of slabs: ``cell``, a hash of the choice and its coordinates."""
     masks = _masks(slabs)
     point = embedded(F.col("fp"))
     chosen = [_signed(sum(masks[i] for i in c)) for c in itertools.combinations(range(slabs), slabs - distance)]
     keys = F.array(*(F.xxhash64(F.lit(k), point.bitwiseAND(F.lit(m))) for k, m in enumerate(chosen)))
-    return points.select("fp", F.explode(keys).alias("cell"))
+    return points.select("*", F.explode(keys).alias("cell"))
 
 
 def _near(a: Column, b: Column, distance: int) -> Column:
@@ -139,10 +135,12 @@ def link(fps: DataFrame, distance: int = DISTANCE, slabs: int = SLABS) -> DataFr
     least = grid.groupBy("cell").agg(F.min("fp").alias("hub"), F.count("*").alias("n")).where("n > 1").select("cell", "hub")
     stars = grid.join(least, "cell").where((F.col("fp") != F.col("hub")) & _near(F.col("fp"), F.col("hub"), distance)).select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
     rough = common.cut(components(fps, stars))
-    points = cells(rough, distance, slabs).join(rough, "fp")
-    left, right = points.select("cell", F.col("fp").alias("a"), F.col("root").alias("ra")), points.select("cell", F.col("fp").alias("b"), F.col("root").alias("rb"))
+    points = cells(rough, distance, slabs)
+    left = points.select("cell", F.col("fp").alias("a"), F.col("root").alias("ra"))
+    right = points.select(F.col("cell").alias("own_cell"), F.col("fp").alias("b"), F.col("root").alias("rb"))
     # One link between two rough components is as good as all of them.
-    more = left.join(right, (left["cell"] == right["cell"]) & (F.col("ra") < F.col("rb")) & _near(F.col("a"), F.col("b"), distance)).groupBy(F.col("ra").alias("a"), F.col("rb").alias("b")).agg(F.lit(1).alias("one")).select("a", "b")
+    near = left.join(right, (F.col("cell") == F.col("own_cell")) & (F.col("ra") < F.col("rb")) & _near(F.col("a"), F.col("b"), distance))
+    more = near.select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
     roots = rough.select(F.col("root").alias("fp")).distinct()
     final = components(roots, more).withColumnsRenamed({"fp": "r", "root": "top"})
     return rough.join(final, rough["root"] == final["r"]).select(rough["fp"], F.col("top").alias("root"))
