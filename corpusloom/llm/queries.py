@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, byte_cnn, id_store, language_id, repetition_rules, severity, simhash_dedup
+from . import bpe_codec, byte_cnn, chunk_dedup, id_store, language_id, repetition_rules, severity, simhash_dedup
 from .common import table
 
 
@@ -40,8 +40,12 @@ def op9_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return severity.score_severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_id, op3_simhash_dedup, op4_repetition_rules, op5_byte_cnn, op7_bpe_codec, op8_id_store, op9_severity)}
+    return {f.__name__: f for f in (op2_language_id, op3_simhash_dedup, op4_repetition_rules, op5_byte_cnn, op7_bpe_codec, op8_id_store, op9_severity, op10_chunk_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
