@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, byte_cnn, chunk_dedup, id_store, language_id, repetition_rules, severity, simhash_dedup
+from . import bpe_codec, byte_cnn, chunk_dedup, id_store, language_id, line_templates, repetition_rules, severity, simhash_dedup
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op5_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.drop_recurring_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -45,7 +49,7 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_id, op3_simhash_dedup, op4_repetition_rules, op5_byte_cnn, op7_bpe_codec, op8_id_store, op9_severity, op10_chunk_dedup)}
+    return {f.__name__: f for f in (op2_language_id, op3_simhash_dedup, op4_repetition_rules, op5_byte_cnn, op6_line_templates, op7_bpe_codec, op8_id_store, op9_severity, op10_chunk_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
