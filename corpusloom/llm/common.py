@@ -76,14 +76,17 @@ def compact(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
-def word_spans(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(raw: np.ndarray, off: np.ndarray, before: np.ndarray | None = None, after: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where the words ``[^\\x20\\x09-\\x0D]+`` begin and end in ``raw``, and how many each text has.
 
-    Words don't run on from one text into the next.
+    Words don't run on from one text into the next. Given the byte classes ``before`` and ``after``, words
+    are also cut between a byte of the one and a byte of the other.
     """
     solid = ~_SPACE[raw]
     start = solid.copy()
     start[1:] &= ~solid[:-1]
+    if before is not None:
+        start[1:] |= before[raw[:-1]] & after[raw[1:]]
     edge = off[1:-1][off[1:-1] < len(raw)]
     start[edge] = solid[edge]  # a text's first byte begins a word whatever stands before it
     end = solid.copy()
@@ -98,7 +101,7 @@ def words_of(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> pa.Array:
         return pa.array([], pa.large_string())
     depth = np.zeros(len(raw) + 1, np.int8)
     depth[begins] += 1
-    np.subtract.at(depth, ends, 1)
+    depth[ends] -= 1  # ends are distinct, but one may be the next word's beginning
     inside = np.cumsum(depth[:-1], dtype=np.int8).astype(bool)
     data = raw[inside]
     offsets = np.concatenate([[0], np.cumsum(ends - begins)])

@@ -10,6 +10,7 @@ slices the payload. A footer says where each section is.
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import uuid
@@ -29,6 +30,13 @@ ROWS_PER_SHARD = 8192
 #: Words whose ids a worker keeps; later ones are encoded anew in each chunk.
 CACHE_WORDS = 500_000
 _GAMMA, _MOST_LEVELS = 2, 40
+_CHUNK_BYTES = 12 << 20
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_LETTER, _POINT = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_POINT[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")] = True  # ASCII punctuation but for the apostrophe, which may begin a suffix
 
 
 def mix(keys: np.ndarray, seed: int) -> np.ndarray:
@@ -185,10 +193,12 @@ class Shard:
 
 
 class WordEncoder:
-    """The tokenizers library applied to distinct white-space words; texts are gathered from their words.
+    """The tokenizers library applied to distinct words; texts are gathered from their words.
 
     That equals encoding the whole text for tokenizers that drop white space and never join what it
-    separates, as word-level ones with an end-of-word mark do.
+    separates, as word-level ones with an end-of-word mark do. If the tokenizer's own settings say so,
+    words are lower-cased (A-Z) and cut between a letter and ASCII punctuation first, as it would do itself;
+    then fewer of them are distinct. Neither is done in a chunk with ``<|``, where a special token may stand.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -196,6 +206,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        settings = json.loads(tokenizer_json)
+        self.lowers = '"Lowercase"' in json.dumps(settings["normalizer"])
+        self.cuts = all(x in json.dumps(settings["pre_tokenizer"]) for x in (r"[\\p{L}]+|", r"|[^\\s\\p{L}\\p{N}]+"))
         self.known: dict[str, int] = {}
         self.sizes = np.zeros(1024, np.int64)
         self.starts = np.zeros(1024, np.int64)
@@ -205,7 +218,7 @@ class WordEncoder:
     def _add(self, words: list[str]) -> None:
         got = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         size = np.array([len(x) for x in got], np.int64)
-        flat = np.array([i for x in got for i in x], np.int32)
+        flat = np.fromiter(itertools.chain.from_iterable(got), np.int32, int(size.sum()))
         while self.n + len(words) > len(self.sizes):
             self.sizes, self.starts = np.resize(self.sizes, 2 * len(self.sizes)), np.resize(self.starts, 2 * len(self.starts))
         while self.used + len(flat) > len(self.ids):
@@ -218,27 +231,30 @@ class WordEncoder:
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, the texts one after another with ``end_id`` behind each, and the number of each text's."""
         raw, off = common.compact(texts)
-        begins, ends, counts = common.word_spans(raw, off)
+        plain = b"<|" not in raw.tobytes()
+        begins, ends, counts = common.word_spans(raw, off, _LETTER, _POINT) if plain and self.cuts else common.word_spans(raw, off)
+        if plain and self.lowers:
+            raw = _LOWER[raw]
         words = common.words_of(raw, begins, ends).dictionary_encode()
         names, known = words.dictionary.to_pylist(), self.known
-        new = [w for w in names if w not in known]
+        at = np.fromiter(map(known.get, names, itertools.repeat(-1)), np.int64, len(names))
+        missing = np.flatnonzero(at < 0)
         keep = self.n, self.used
-        for a in range(0, len(new), 4096):
-            self._add(new[a : a + 4096])
-        extra = dict(zip(new, range(keep[0], self.n), strict=True))
-        if len(known) + len(new) <= CACHE_WORDS:
-            known.update(extra)
-            at, keep = np.array([known[w] for w in names], np.int64), None
+        for a in range(0, len(missing), 4096):
+            self._add([names[i] for i in missing[a : a + 4096].tolist()])
+        at[missing] = np.arange(keep[0], self.n)
+        if full := len(known) + len(missing) > CACHE_WORDS:
+            keep_n, keep_used = keep
         else:
-            at = np.array([known[w] if w in known else extra[w] for w in names], np.int64)
+            known.update((names[i], j) for i, j in zip(missing.tolist(), at[missing].tolist(), strict=True))
         word = at[words.indices.to_numpy()] if len(names) else np.zeros(0, np.int64)
         size = self.sizes[word]
         word_ends = np.cumsum(size)
         flat = self.ids[np.arange(int(size.sum())) + np.repeat(self.starts[word] - (word_ends - size), size)]
         doc_ends = np.concatenate([[0], word_ends])[np.cumsum(counts)]
         out = np.insert(flat, doc_ends, end_id)
-        if keep:
-            self.n, self.used = keep  # the cache is full: this chunk's new words are forgotten
+        if full:
+            self.n, self.used = keep_n, keep_used  # the cache is full: this chunk's new words are forgotten
         return out, np.diff(np.concatenate([[0], doc_ends])) + 1
 
 
@@ -254,7 +270,7 @@ def _write(out_dir: str, tokenizer_json: str, end_id: int, dtype: str) -> Callab
             _encoders[key] = WordEncoder(tokenizer_json)
         number = TaskContext.get().partitionId()
         path, writer, first, last = f"{out_dir}/shard-{number:06d}.ids", None, None, None
-        for batch in common.chunks(it, 1):
+        for batch in common.chunks(it, 1, _CHUNK_BYTES):
             writer = writer or ShardWriter(path, dtype)
             keys = batch.column(0).cast(pa.int64())
             writer.add(keys, *_encoders[key].encode(batch.column(1), end_id))
