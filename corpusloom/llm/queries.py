@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, byte_cnn, chunk_dedup, id_store, language_id, line_templates, repetition_rules, severity, simhash_dedup
+from . import bpe_codec, byte_cnn, chunk_dedup, id_store, language_id, line_templates, repetition_rules, severity, simhash_dedup, template_decontam
 from .common import table
 
 
+def op1_template_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template_decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.train_and_identify(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -49,7 +53,7 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_id, op3_simhash_dedup, op4_repetition_rules, op5_byte_cnn, op6_line_templates, op7_bpe_codec, op8_id_store, op9_severity, op10_chunk_dedup)}
+    return {f.__name__: f for f in (op1_template_decontam, op2_language_id, op3_simhash_dedup, op4_repetition_rules, op5_byte_cnn, op6_line_templates, op7_bpe_codec, op8_id_store, op9_severity, op10_chunk_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
