@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "corpusloom", cores: str = "*", **extra: str) -> SparkSession:
@@ -19,3 +22,21 @@ def local_session(app: str = "corpusloom", cores: str = "*", **extra: str) -> Sp
     spark = SparkSession.builder.master(f"local[{cores}]").appName(app).config(map=conf).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A folder that driver and executors share: the session's checkpoint folder, set here only where unset."""
+    if at := spark.conf.get("spark.checkpoint.dir", None):
+        return at.rstrip("/")
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        local = sc.master == "local" or sc.master.startswith("local[")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-") if local else spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
+    return sc.getCheckpointDir().rstrip("/")
+
+
+def stored(df: DataFrame, what: str) -> DataFrame:
+    """``df`` written as Parquet under a new name in the shared folder, and read back."""
+    path = f"{shared_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
