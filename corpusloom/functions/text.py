@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,9 +31,33 @@ def normalize_for_model(c: Column) -> Column:
     return F.replace(strip(F.coalesce(c.cast("string"), F.lit(""))), F.lit("\n"), F.lit(" "))
 
 
+def literals(pattern: str) -> list[str] | None:
+    """The alternatives of a pattern that is nothing but literals, or None."""
+    parts = pattern.split("|")
+    return parts if all(x and re.escape(x).replace("\\ ", " ") == x for x in parts) else None
+
+
+def _apart(parts: list[str]) -> bool:
+    """Whether no match of one alternative can overlap one of another, so that counts add up."""
+    meets = lambda a, b: a in b or any(a.endswith(b[:k]) for k in range(1, min(len(a), len(b))))
+    return not any(meets(a, b) for i, a in enumerate(parts) for j, b in enumerate(parts) if i != j)
+
+
+def count_matches(c: Column, pattern: str) -> Column:
+    """How often a pattern matches. Literals are counted by their removal, a byte search without a regex."""
+    parts = literals(pattern)
+    if parts is None or not _apart(parts):
+        return F.regexp_count(c, F.lit(pattern))
+    each = [((F.length(c) - F.length(F.replace(c, F.lit(x), F.lit("")))) / len(x)).cast("int") for x in parts]
+    return reduce(lambda a, b: a + b, each)
+
+
 def contains_any(c: Column, keywords) -> Column:
     """Whether the lower-cased text has any keyword, as a substring."""
-    return F.lower(c).rlike("|".join(keywords))
+    low = F.lower(c)
+    if literals("|".join(keywords)) is None:
+        return low.rlike("|".join(keywords))
+    return reduce(lambda a, b: a | b, [low.contains(k) for k in keywords])
 
 
 def has_non_latin(c: Column) -> Column:

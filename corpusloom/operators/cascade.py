@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize_for_model
+from ..functions.text import count_matches, normalize_for_model
 from ..plans.taxonomy import Taxonomy
+from ..session import stored
 from . import route
 
 #: Columns that the cascade adds; a source column of the same name is kept with the suffix ``_source``.
@@ -19,13 +20,17 @@ def keyword_stage2(taxonomy: Taxonomy, text: str = "text_norm") -> Callable[[Dat
     """A stage 2 by the taxonomy's probes: the domain of most hits (first in taxonomy order on a tie), confidence its share."""
 
     def decide(df: DataFrame) -> DataFrame:
-        low = F.lower(F.col(text))
         names = list(taxonomy.probes)
-        hits = F.array(*(F.struct(F.regexp_count(low, F.lit("|".join(taxonomy.probes[n]))).alias("n"), F.lit(-i).alias("rank"), F.lit(n).alias("domain")) for i, n in enumerate(names)))
-        with_hits = df.withColumn("_hits", hits).select("*", F.array_max("_hits").alias("_best"), F.aggregate("_hits", F.lit(0), lambda a, x: a + x["n"]).alias("_total"))
-        found = F.col("_total") > 0
-        out = with_hits.withColumn("domain", F.when(found, F.col("_best.domain")).otherwise(taxonomy.fallback))
-        return out.withColumn("confidence", F.round(F.when(found, F.col("_best.n") / F.nullif("_total", F.lit(0))).otherwise(0.0), 4)).drop("_hits", "_best", "_total")
+        hits = F.array(*(F.struct(count_matches(F.col("_low"), "|".join(taxonomy.probes[n])).alias("n"), F.lit(-i).alias("rank"), F.lit(n).alias("domain")) for i, n in enumerate(names)))
+
+        def judge(h):
+            best, total = F.array_max(h), F.aggregate(h, F.lit(0), lambda a, x: a + x["n"])
+            domain = F.when(total > 0, best["domain"]).otherwise(taxonomy.fallback)
+            share = F.when(total > 0, best["n"] / F.nullif(total, F.lit(0))).otherwise(F.lit(0.0))
+            return F.struct(domain.alias("domain"), F.round(share, 4).alias("confidence"))
+
+        ready = df.drop("domain").select("*", F.explode(F.array(F.lower(F.col(text)))).alias("_low"))
+        return ready.select("*", F.inline(F.transform(F.array(hits), judge))).drop("_low")
 
     return decide
 
@@ -39,7 +44,8 @@ def classify(df: DataFrame, taxonomy: Taxonomy, scorer, stage2: Callable[[DataFr
     """
     source = df.withColumnsRenamed({c: f"{c}_source" for c in ADDED if c in df.columns and c != text})
     ready = source.withColumn("text_norm", normalize_for_model(F.col(text)))
-    scored = route.apply_routing(scorer.score(ready.where("text_norm <> ''"), "text_norm"), taxonomy, threshold)
+    # Both branches below read stage 1's rows: they are stored, or the model would run twice.
+    scored = stored(route.apply_routing(scorer.score(ready.where("text_norm <> ''"), "text_norm"), taxonomy, threshold), "stage1")
     settled = scored.where("route <> 'finegrain'").withColumn("confidence", F.col("score"))
     decided = stage2(scored.where("route = 'finegrain'"))
     blank = ready.where("text_norm = ''").withColumns({c: F.lit(None).cast("double" if c in ("score", "confidence") else "string") for c in ("label", "score", "route", "domain", "confidence")})

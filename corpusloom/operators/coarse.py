@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize_for_model
+from ..functions.text import count_matches, normalize_for_model
 
 
 @dataclass(frozen=True)
@@ -24,15 +24,18 @@ class LexicalScorer:
     none_score: float = 0.0
 
     def score(self, df: DataFrame, text: str = "english") -> DataFrame:
-        low = F.lower(normalize_for_model(F.col(text)))
         names = sorted(self.patterns)
-        hits = df.withColumn("_hits", F.array(*(F.struct(F.regexp_count(low, F.lit(self.patterns[n])).alias("n"), F.lit(-i).alias("rank"), F.lit(n).alias("label")) for i, n in enumerate(names))))
-        total = F.aggregate("_hits", F.lit(0), lambda a, x: a + x["n"])
-        scored = hits.select("*", F.array_max("_hits").alias("_best"), total.alias("_total"))
-        found = F.col("_total") > 0
-        label = F.when(found, F.col("_best.label")).otherwise(self.none_label)
-        score = F.when(found, F.col("_best.n") / F.nullif("_total", F.lit(0))).otherwise(F.lit(self.none_score))
-        return scored.withColumns({"label": label, "score": score.cast("double")}).drop("_hits", "_best", "_total")
+        hits = F.array(*(F.struct(count_matches(F.col("_low"), self.patterns[n]).alias("n"), F.lit(-i).alias("rank"), F.lit(n).alias("label")) for i, n in enumerate(names)))
+
+        def judge(h):
+            best, total = F.array_max(h), F.aggregate(h, F.lit(0), lambda a, x: a + x["n"])
+            label = F.when(total > 0, best["label"]).otherwise(self.none_label)
+            score = F.when(total > 0, best["n"] / F.nullif(total, F.lit(0))).otherwise(F.lit(self.none_score))
+            return F.struct(label.alias("label"), score.cast("double").alias("score"))
+
+        # Through a generator, so that filters on the result don't pull the patterns into their conditions.
+        ready = df.select("*", F.explode(F.array(F.lower(normalize_for_model(F.col(text))))).alias("_low"))
+        return ready.select("*", F.inline(F.transform(F.array(hits), judge))).drop("_low")
 
 
 @dataclass(frozen=True)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 #: Fixed value: rows of a workbook part.
 PART_ROWS = 100_000
 
@@ -27,7 +29,7 @@ def parts(df: DataFrame, group: str, order: list[str], part_rows: int = PART_ROW
     """Adds part (from 1): consecutive ``part_rows`` rows of each group, numbered by ranges, not in one task."""
     from .corpus import with_ordinal
 
-    numbered = with_ordinal(df.where(F.col(group).isNotNull()), [group, *order], "_n")
+    numbered = with_ordinal(stored(df.where(F.col(group).isNotNull()), "parts"), [group, *order], "_n")
     first = numbered.groupBy(group).agg(F.min("_n").alias("_first"))
     return numbered.join(F.broadcast(first), group).withColumn("part", (F.floor((F.col("_n") - F.col("_first")) / part_rows) + 1).cast("long")).drop("_n", "_first")  # a row per group
 
@@ -55,6 +57,7 @@ def _section(df: DataFrame, section: str, item: Column, value: Column) -> DataFr
 def run_metadata(df: DataFrame, settings: dict[str, str], generated: str | None = None) -> DataFrame:
     """section, item, value: one flat report of a run, all of it derived from the run itself."""
     spark = df.sparkSession
+    df = stored(df.select("source_file", "route", "domain", "score"), "report")  # every section reads it
     total = df.agg(F.count("*").alias("n"), F.countDistinct("source_file").alias("sources"), F.round(F.avg("score"), 4).alias("mean"))
     percent = lambda digits: F.concat("n", F.lit(" ("), F.format_string(f"%.{digits}f", F.round(100.0 * F.col("n") / F.col("_total"), digits)), F.lit("%)"))
     out = _section(total, "run", F.lit("rows"), F.col("n")).unionByName(_section(total, "source", F.lit("files"), F.col("sources"))).unionByName(_section(total, "stage 1", F.lit("mean score"), F.format_string("%.4f", "mean")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .corpus import first_of
 from .seeds import lot, sample, sample_per
 
@@ -25,7 +26,7 @@ def recall(df: DataFrame, probes: dict[str, tuple[str, ...]], key: str, per_prob
 
 def gold_set(df: DataFrame, probes: dict[str, tuple[str, ...]], key: str, text: str = "english", n: int = RANDOM, per_domain: int = PER_DOMAIN, per_probe: int = PER_PROBE) -> DataFrame:
     """key, text, part, predicted and an order to label in; a text is in one part only, the first of the three."""
-    own = df.where(F.col(text).isNotNull())
+    own = stored(df.where(F.col(text).isNotNull()).select(key, text, "domain"), "gold")  # three parts read it
     cut = lambda x, part, rank: x.select(key, text, F.col("domain").alias("predicted"), part.alias("part"), F.lit(rank).alias("_rank"))
     parts = cut(sample(own, n, key, SEED), F.lit("random"), 0).unionByName(cut(stratified(own, key, per_domain), F.lit("stratified"), 1))
     parts = parts.unionByName(cut(recall(own, probes, key, per_probe, text), F.concat(F.lit("recall:"), "probe"), 2))

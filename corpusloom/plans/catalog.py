@@ -437,7 +437,8 @@ def unclassified_bucket(spark, sf_dir):
 
 
 def _chunked(spark, sf_dir):
-    return corpus.with_ordinal(routed(spark, sf_dir), ["row_id"]).withColumn("chunk_id", F.floor(F.col("ordinal") / CHUNK).cast("long"))
+    numbered = corpus.with_ordinal(lines(spark, sf_dir), ["row_id"])  # before the scores, as its sort reads rows twice
+    return route.apply_routing(SCORER.score(numbered), SYNTHETIC).withColumn("chunk_id", F.floor(F.col("ordinal") / CHUNK).cast("long"))
 
 
 @query(_sql(f"SELECT row_id, ordinal // {CHUNK} AS chunk_id FROM ordered", "ordered"))
@@ -478,7 +479,7 @@ def export_part_rows(spark, sf_dir):
 
 @query(_sql(f"SELECT ordinal // {CHUNK} + 1 AS chunk, domain, count(*) AS rows FROM ordered WHERE domain IS NOT NULL GROUP BY ALL", "ordered"))
 def corpus_chunk_histogram(spark, sf_dir):
-    return export.corpus_chunk_histogram(routed(spark, sf_dir), ["row_id"], CHUNK)
+    return _chunked(spark, sf_dir).where("domain is not null").groupBy((F.col("chunk_id") + 1).alias("chunk"), "domain").agg(F.count("*").alias("rows"))
 
 
 @query(_sql("SELECT lower(domain) || '.csv' AS file, count(*) AS rows FROM classified WHERE domain IS NOT NULL GROUP BY 1", "classified"))

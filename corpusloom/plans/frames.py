@@ -16,7 +16,9 @@ LINES_PER_DOCUMENT = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; one that has fewer splits than there are cores is dealt out to all of them."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df.repartition(spark.sparkContext.defaultParallelism) if name == "documents" and df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism else df
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
