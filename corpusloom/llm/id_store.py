@@ -28,7 +28,7 @@ MAGIC = b"LOOMIDS1"
 #: Rows of a shard, about; the longest shard holds what range sampling gives it.
 ROWS_PER_SHARD = 8192
 #: Words whose ids a worker keeps; later ones are encoded anew in each chunk.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 900_000
 _GAMMA, _MOST_LEVELS = 2, 40
 _CHUNK_BYTES = 12 << 20
 
