@@ -67,7 +67,8 @@ def recurring_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIM
     shared = templates(docs, lines, depth, similarity, min_docs).select(F.col("key").alias("k"), F.col("leaf").alias("shared"))
     placed = lines.join(shared, F.col("key") == F.col("k"), "left").select("doc_id", "key", F.coalesce("shared", "key").alias("template"))
     placed = common.cut(placed)
-    found = placed.select("template", "doc_id").distinct().groupBy("template").agg(F.count("*").alias("n"), F.min("doc_id").alias("keeper")).where(F.col("n") >= min_docs).select(F.col("template").alias("t"), "keeper")
+    # Stored, so that both sides of the join below come straight from an exchange, whose hot keys can be split.
+    found = common.cut(placed.select("template", "doc_id").distinct().groupBy("template").agg(F.count("*").alias("n"), F.min("doc_id").alias("keeper")).where(F.col("n") >= min_docs).select(F.col("template").alias("t"), "keeper"))
     return placed.join(found, F.col("template") == F.col("t")).where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select("doc_id", "key")
 
 
