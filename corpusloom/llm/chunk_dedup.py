@@ -94,7 +94,9 @@ def repeated_chunks(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     chunks = common.written(chunk_table(docs.where("doc_id is not null and text is not null")), "chunks")
     owners = chunks.groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last")
-    found = chunks.join(owners.select("d1", "d2", "first"), ["d1", "d2"]).select("doc_id", "nth", "at", "size", "words", (F.col("first") == F.col("doc_id")).alias("is_first"))
+    # Stored, so that both sides of the join come straight from an exchange, whose hot digests can be split.
+    owners = common.written(owners.select("d1", "d2", "first"), "owners")
+    found = chunks.join(owners, ["d1", "d2"]).select("doc_id", "nth", "at", "size", "words", (F.col("first") == F.col("doc_id")).alias("is_first"))
     order = Window.partitionBy("doc_id").orderBy("nth", "at", "size")
     found = found.select("*", (F.col("nth") - F.dense_rank().over(Window.partitionBy("doc_id").orderBy("nth"))).alias("run"), F.lag(F.struct("nth", "at", "size")).over(order).alias("before"))
     found = found.where("before is null or before <> struct(nth, at, size)")
