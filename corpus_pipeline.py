@@ -21,10 +21,17 @@ ORACLE_SQL = None
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter or without a clear language (operator 2), fitted on ``docs`` itself."""
+    """Drops documents without a letter or without a clear language (operator 2), fitted on ``docs`` itself.
+
+    If no row has a language there is nothing to learn from, and nothing but documents without a letter goes.
+    """
     model = language_id.Model.fit(docs, language_id.read_pieces(public_tokenizers.path("piece_bpe_32k.model")))
-    found = language_id.identify(docs, model, docs.columns)
-    return found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    # The row travels whole, so that no column of it can clash with the prediction's.
+    rows = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    found = language_id.identify(rows, model, ["row"])
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    return found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("row.*")
 
 
 def drop_template_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

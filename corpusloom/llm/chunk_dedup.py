@@ -126,7 +126,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Null texts and rows with a null doc_id stay as they are.
     """
-    spans = repeated_chunks(docs, min_words).where("not is_first").groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_list(F.struct("at", "size"))).alias("_spans"))
+    spans = repeated_chunks(docs, min_words).where("not is_first").groupBy(F.col("doc_id").alias("__loom_id")).agg(F.sort_array(F.collect_list(F.struct("at", "size"))).alias("__loom_spans"))
 
     @F.pandas_udf("string")
     def cut(text, spans):
@@ -143,5 +143,5 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
         return pd.Series(out, dtype=object)
 
-    joined = docs.join(spans, docs["doc_id"].cast("long") == spans["_id"], "left")
-    return joined.select(*(F.when(F.col("_spans").isNull(), docs["text"]).otherwise(cut(docs["text"], F.col("_spans"))).alias(c) if c == "text" else docs[f"`{c}`"] for c in docs.columns))
+    joined = docs.join(spans, docs["doc_id"].cast("long") == spans["__loom_id"], "left")
+    return joined.select(*(F.when(F.col("__loom_spans").isNull(), docs["text"]).otherwise(cut(docs["text"], F.col("__loom_spans"))).alias(c) if c == "text" else docs[f"`{c}`"] for c in docs.columns))

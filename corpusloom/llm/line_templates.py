@@ -81,15 +81,15 @@ def drop_recurring_lines(docs: DataFrame, depth: int = DEPTH, similarity: float
     a position are equally common, the greater one in byte order is its constant. Columns of ``docs``
     called n_lines or n_dropped give way.
     """
-    gone = recurring_lines(docs, depth, similarity, min_docs).groupBy("doc_id").agg(F.collect_set("key").alias("_gone")).withColumnRenamed("doc_id", "_id")
-    rest = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped", "_id", "_gone")))
-    joined = rest.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    gone = recurring_lines(docs, depth, similarity, min_docs).groupBy("doc_id").agg(F.collect_set("key").alias("__loom_gone")).withColumnRenamed("doc_id", "__loom_id")
+    rest = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped", "__loom_id", "__loom_gone")))
+    joined = rest.join(gone, F.col("doc_id").eqNullSafe(F.col("__loom_id")), "left")
     plain = F.split(F.col("text"), "\n", -1)
     pairs = F.arrays_zip(plain.alias("line"), F.transform(_lines(F.col("text")), _key).alias("key"))
-    marked = joined.withColumn("_lines", F.when(F.col("_gone").isNotNull(), F.filter(pairs, lambda x: x["key"].isNull() | ~F.array_contains(F.col("_gone"), x["key"]))))
+    marked = joined.withColumn("__loom_lines", F.when(F.col("__loom_gone").isNotNull(), F.filter(pairs, lambda x: x["key"].isNull() | ~F.array_contains(F.col("__loom_gone"), x["key"]))))
     solid = lambda lines: F.size(F.filter(lines, lambda x: F.trim(x) != ""))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(solid(plain)).cast("long")
-    left = F.size(F.filter("_lines", lambda x: x["key"].isNotNull())).cast("long")
-    text = F.when(F.col("_lines").isNull(), F.col("text")).when(left == 0, F.lit("")).otherwise(F.array_join(F.col("_lines.line"), "\n"))
-    n_dropped = F.when(F.col("_lines").isNull(), F.lit(0)).otherwise(n_lines - left).cast("long")
+    left = F.size(F.filter("__loom_lines", lambda x: x["key"].isNotNull())).cast("long")
+    text = F.when(F.col("__loom_lines").isNull(), F.col("text")).when(left == 0, F.lit("")).otherwise(F.array_join(F.col("__loom_lines.line"), "\n"))
+    n_dropped = F.when(F.col("__loom_lines").isNull(), F.lit(0)).otherwise(n_lines - left).cast("long")
     return marked.select(*(text.alias(c) if c == "text" else F.col(f"`{c}`") for c in rest.columns), n_lines.alias("n_lines"), n_dropped.alias("n_dropped"))

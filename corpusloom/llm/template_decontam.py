@@ -102,5 +102,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_W
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, in which no item is found."""
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("__loom_bad")).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__loom_bad")), "left_anti")
