@@ -56,7 +56,7 @@ def templates(docs: DataFrame, lines: DataFrame, depth: int, similarity: float,
     at = texts.select("leaf", "n", "total", F.posexplode("tokens").alias("at", "token"))
     common_token = at.groupBy("leaf", "at", "token").agg(F.sum("n").alias("n"), F.first("total").alias("total")).groupBy("leaf", "at").agg(F.max(F.struct("n", "token")).alias("top"), F.first("total").alias("total"))
     constant = F.when(F.col("top.n") * 2 >= F.col("total"), F.col("top.token"))
-    tree = common_token.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("at", constant.alias("token")))).alias("template"))
+    tree = common.cut(common_token.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("at", constant.alias("token")))).alias("template")))
     agree = F.size(F.filter(F.zip_with("tokens", F.col("template.token"), lambda a, b: F.coalesce(a == b, F.lit(False))), lambda x: x))
     return texts.join(tree, "leaf").where(agree >= similarity * F.size("tokens")).select("key", "leaf")
 
