@@ -123,7 +123,8 @@ def resolve(columns: list[Profile]) -> dict[str, str | None]:
     if english is not None and target is not None and english != target:
         return answer(english, target, id_col)
     texts = [c for c in columns if c.is_text and c.name != id_col]
-    prose = [c for c in texts if not c.looks_like_id or c.name in (english, target)]
+    # Short sentences are short and unique too: another script or English words tell them from ids.
+    prose = [c for c in texts if not c.looks_like_id or c.non_latin > FOREIGN_FROM or c.english >= ENGLISH_LEAD or c.name in (english, target)]
     candidates = prose if len(prose) >= 2 else texts
     foreign, latin = [c for c in candidates if c.non_latin > FOREIGN_FROM], [c for c in candidates if c.non_latin < LATIN_TO]
     by_header = english is not None or target is not None

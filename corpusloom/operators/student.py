@@ -53,7 +53,7 @@ def ml_pipeline(word_ngrams: int = 2, chars: tuple[int, int] = (3, 4), features:
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer, SQLTransformer, StringIndexer, VectorAssembler
 
-    stages = [StringIndexer(inputCol="label", outputCol="label_index", handleInvalid="keep", stringOrderType="alphabetAsc"), RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\s+")]
+    stages = [StringIndexer(inputCol="label", outputCol="label_index", stringOrderType="alphabetAsc"), RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\s+")]
     parts = []
     for n in range(1, word_ngrams + 1):
         stages += [NGram(n=n, inputCol="words", outputCol=f"w{n}"), HashingTF(numFeatures=features, inputCol=f"w{n}", outputCol=f"fw{n}")]
