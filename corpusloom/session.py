@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,3 +44,18 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application, so that executors need no copy of it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_corpusloom_shipped", False):
+        return
+    root, data = Path(__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted(root.rglob("*.py")):
+            z.writestr(zipfile.ZipInfo(str(path.relative_to(root.parent))), path.read_bytes())
+    at = Path(tempfile.mkdtemp(prefix="corpusloom-")) / f"corpusloom-{hashlib.sha256(data.getvalue()).hexdigest()[:12]}.zip"
+    at.write_bytes(data.getvalue())
+    sc.addPyFile(str(at))
+    sc._corpusloom_shipped = True
