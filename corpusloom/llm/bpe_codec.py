@@ -163,4 +163,4 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, id_col: str
     """
     vocab = read_ranks(rank_file)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded binary" if with_ids else "")
-    return common.own_columns(docs, id_col, text_col).mapInArrow(_run(vocab, pattern, with_ids), schema)
+    return common.own_columns(docs, id_col, text_col).transform(common.map_arrow, _run(vocab, pattern, with_ids), schema)

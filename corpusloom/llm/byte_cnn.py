@@ -182,4 +182,4 @@ def score_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality"
     """
     net = fit(*training_rows(docs, labels, label_col, held_out_mod, rows_per_class))
     own = common.own_columns(docs, "doc_id", "text").select("doc_id", "text", (common.crc_mod("doc_id", held_out_mod) == 0).alias("held_out"))
-    return own.mapInArrow(_run(net), "doc_id long, held_out boolean, score double, predicted int")
+    return own.transform(common.map_arrow, _run(net), "doc_id long, held_out boolean, score double, predicted int")

@@ -81,7 +81,7 @@ def _chunk_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def chunk_table(docs: DataFrame) -> DataFrame:
     """A row for each chunk: doc_id, its digest (d1, d2), its number, place and size in bytes, and words begun in it."""
     own = common.own_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    return own.mapInArrow(_chunk_rows, "doc_id long, d1 long, d2 long, nth int, at int, size int, words int")
+    return own.transform(common.map_arrow, _chunk_rows, "doc_id long, d1 long, d2 long, nth int, at int, size int, words int")
 
 
 def repeated_chunks(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

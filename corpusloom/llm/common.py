@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 #: Bytes of text that a Python worker handles at once; a longer single text makes a chunk of its own.
 CHUNK_BYTES = 6 << 20
 
@@ -51,6 +53,12 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow``, with this package sent to the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def chunks(it: Iterator[pa.RecordBatch], column: int, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut into slices whose ``column`` (text) holds at most ``most`` bytes, or one row."""
     for batch in it:

@@ -305,7 +305,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, out_dir: str
     shards = max(1, -(-own.select("doc_id").count() // rows_per_shard))
     ordered = own.repartitionByRange(shards, "doc_id").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     schema = "shard long, path string, docs long, ids long, first_key long, last_key long"
-    rows = sorted(ordered.mapInArrow(_write(out_dir, tokenizer_json, end_id, dtype), schema).collect())
+    rows = sorted(ordered.transform(common.map_arrow, _write(out_dir, tokenizer_json, end_id, dtype), schema).collect())
     start, manifest = 0, []
     for r in rows:
         manifest.append({**r.asDict(), "start": start})
@@ -348,4 +348,4 @@ def read_store(spark: SparkSession, store: str) -> DataFrame:
     if not manifest:
         return spark.createDataFrame([], schema)
     shards = spark.createDataFrame([(m["path"], m["start"]) for m in manifest], "path string, start long")
-    return shards.repartition(len(manifest)).mapInArrow(_read, schema)
+    return shards.repartition(len(manifest)).transform(common.map_arrow, _read, schema)

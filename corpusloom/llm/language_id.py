@@ -216,10 +216,10 @@ class Model:
             lot = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("langid")), F.lit(1 << 20)) / float(1 << 20)
             number = F.coalesce(*(F.when(F.col("lang") == x, F.lit(i)) for i, x in enumerate(languages)))
             bound = F.coalesce(*(F.when(F.col("lang") == x, F.lit(rows_per_language / size[x])) for x in languages))
-            counts = own.where(lot < bound).select(number.cast("long").alias("lang"), "text").mapInArrow(_word_counts, "lang long, word string, n long")
+            counts = own.where(lot < bound).select(number.cast("long").alias("lang"), "text").transform(common.map_arrow, _word_counts, "lang long, word string, n long")
             counts = common.cut(counts.groupBy("lang", "word").agg(F.sum("n").alias("n")))
             for _ in range(rounds):
-                got = counts.mapInArrow(_expected(tuple(pieces), p), "lang long, piece long, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n")).toArrow()
+                got = counts.transform(common.map_arrow, _expected(tuple(pieces), p), "lang long, piece long, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n")).toArrow()
                 n = np.full_like(p, 0.05)
                 n[got.column("piece").to_numpy(), got.column("lang").to_numpy()] += got.column("n").to_numpy()
                 p = np.maximum(n / n.sum(0), 1e-9)
@@ -291,7 +291,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     own = docs.select(F.col("text").alias("_text"), *(F.col(f"`{c}`") for c in keep))
     schema = T.StructType([*own.schema.fields[1:], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return own.mapInArrow(_run(model, len(keep)), schema)
+    return own.transform(common.map_arrow, _run(model, len(keep)), schema)
 
 
 def train_and_identify(docs: DataFrame, vocab_path: str, held_out_mod: int = 4, held_out: int = 2, **limits: int) -> DataFrame:

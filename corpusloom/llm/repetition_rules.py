@@ -151,7 +151,7 @@ def score_repetition(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     A null or empty text has no words, fails the base rule and isn't kept. A null id stays null. Repeated
     rows give repeated rows, an empty table an empty one, other columns are ignored. ``longest_repeat`` is
-    0 if no repeat has ``min_repeat`` words. Ties don't arise. One text's words are in memory at a time at
-    least, whole texts always.
+    0 if no repeat has ``min_repeat`` words. Texts are handled whole, some MB at a time or one longer text
+    alone, so memory follows the longest text.
     """
-    return common.own_columns(docs, id_col, text_col).mapInArrow(_run(min_repeat, max_fraction, max_longest), SCHEMA)
+    return common.own_columns(docs, id_col, text_col).transform(common.map_arrow, _run(min_repeat, max_fraction, max_longest), SCHEMA)

@@ -177,4 +177,4 @@ def score_severity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic",
     """
     model = fit(*training_rows(docs, labels, label_col, HELD_OUT_MOD, rows_per_class))
     own = common.own_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    return own.mapInArrow(_run(model), "doc_id long, severity double, p_toxic double, grade int, toxic boolean")
+    return own.transform(common.map_arrow, _run(model), "doc_id long, severity double, p_toxic double, grade int, toxic boolean")

@@ -70,7 +70,7 @@ def _fingerprint_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def with_fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id and fp (the fingerprint as a signed long) of each row; a null or empty text has fp 0."""
-    return common.own_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(_fingerprint_rows, "doc_id long, fp long")
+    return common.own_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).transform(common.map_arrow, _fingerprint_rows, "doc_id long, fp long")
 
 
 def _masks(slabs: int) -> list[int]:
