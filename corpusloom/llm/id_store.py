@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from . import common
 
 MAGIC = b"LOOMIDS1"
-#: Rows of a shard, about; the longest shard holds what range sampling gives it.
-ROWS_PER_SHARD = 8192
+#: Rows of a shard, about: the former while that gives no more than some shards for each core, and up to the
+#: latter beyond it, so that a huge table doesn't have millions of shards.
+ROWS_PER_SHARD, MOST_ROWS_PER_SHARD, SHARDS_PER_CORE = 8192, 1 << 17, 8
 #: Words whose ids a worker keeps; later ones are encoded anew in each chunk.
 CACHE_WORDS = 900_000
 _GAMMA, _MOST_LEVELS = 2, 40
@@ -302,12 +303,13 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, out_dir: str
 
     dtype = "<u2" if max(Tokenizer.from_str(tokenizer_json).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
     own = common.own_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    shards = max(1, -(-own.select("doc_id").count() // rows_per_shard))
+    rows, most = own.select("doc_id").count(), max(rows_per_shard, MOST_ROWS_PER_SHARD)
+    shards = max(1, min(-(-rows // rows_per_shard), max(SHARDS_PER_CORE * spark.sparkContext.defaultParallelism, -(-rows // most))))
     ordered = own.repartitionByRange(shards, "doc_id").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     schema = "shard long, path string, docs long, ids long, first_key long, last_key long"
-    rows = sorted(ordered.transform(common.map_arrow, _write(out_dir, tokenizer_json, end_id, dtype), schema).collect())
+    written = sorted(ordered.transform(common.map_arrow, _write(out_dir, tokenizer_json, end_id, dtype), schema).collect())
     start, manifest = 0, []
-    for r in rows:
+    for r in written:
         manifest.append({**r.asDict(), "start": start})
         start += r.ids
     fs, path = filesystem(out_dir)
