@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 import argparse
+import csv
 import sys
 from datetime import datetime
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from .operators import cascade, export, gold, metrics, route, seeds
+from .operators import cascade, export, gold, metrics, route, seeds, student
 from .operators.coarse import LexicalScorer
 from .plans.taxonomy import PRODUCTION, RECALL_PROBES
-from .session import local_session
+from .session import local_session, stored
 from .sources import books, files
 from .streaming import incremental
 
 #: Until a network is plugged in, the coarse labels come from the domains' probes.
 SCORER = LexicalScorer({label: "|".join(d.probe) for d in PRODUCTION.domains for label in (*d.whole, *d.partial)[:1] if d.probe}, none_label="News", none_score=0.0)
+#: Fixed value: rows of an uploaded file that are classified.
+UPLOAD_ROWS = 200_000
 CORPUS = "id string, english string, target string, source_file string, row_number long"
 
 
@@ -65,6 +68,14 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("paths", nargs="+")
     p = sub.add_parser("predict")
     p.add_argument("sentences", nargs="*", help="or one per line on the standard input")
+    pf = sub.add_parser("predict-file", help="classify a file's English side")
+    pf.add_argument("path")
+    pf.add_argument("--out", default="predicted.csv", help=".csv, .xlsx, or .zip of a workbook per domain")
+    pf.add_argument("--limit", type=int, default=UPLOAD_ROWS)
+    es = sub.add_parser("evaluate-seeds", help="k-fold of the student against seed lines")
+    es.add_argument("seeds")
+    es.add_argument("--folds", type=int, default=5)
+    sub.add_parser("label-gold", help="label the gold set by hand, its predictions hidden")
     sub.add_parser("all")
     args = ap.parse_args(argv)
     if args.command == "taxonomy":
@@ -75,7 +86,7 @@ def main(argv: list[str] | None = None) -> int:
         print(*files.repair_bom(files.expand(args.paths)), sep="\n")
         return 0
     spark, work = local_session("corpusloom"), Work(args.work)
-    return {"build": _build, "probe": _probe, "status": _status, "stage1": _stage1, "seed": _seed, "seed-targeted": _seed, "finish": _finish, "export": _export, "make-gold": _gold, "evaluate": _evaluate, "predict": _predict, "all": _all}[args.command](spark, work, args)
+    return {"build": _build, "probe": _probe, "status": _status, "stage1": _stage1, "seed": _seed, "seed-targeted": _seed, "finish": _finish, "export": _export, "make-gold": _gold, "evaluate": _evaluate, "predict": _predict, "predict-file": _predict_file, "evaluate-seeds": _evaluate_seeds, "label-gold": _label_gold, "all": _all}[args.command](spark, work, args)
 
 
 def _corpus(spark, work):
@@ -174,6 +185,56 @@ def _predict(spark, work, args):
     return 0
 
 
+def _predict_file(spark, work, args):
+    raw = files.read_parallel(spark, args.path)
+    df = stored(cascade.or_unclassified(cascade.classify(raw.orderBy("row_number").limit(args.limit), PRODUCTION, SCORER, cascade.keyword_stage2(PRODUCTION))), "predicted")
+    meta = export.run_metadata(df.withColumn("source_file", F.lit(Path(args.path).name)), {"threshold": str(route.THRESHOLD)})
+    rows = df.orderBy("row_number").drop("row_number")
+    if args.out.endswith(".zip"):
+        print(*books.zip_domains(df, args.out, ["row_number"]))
+    elif args.out.endswith(".xlsx"):
+        books.xlsx.write_book(args.out, rows.columns, (tuple(r) for r in rows.toLocalIterator()), [tuple(r) for r in meta.collect()])
+    else:
+        files.export_csv(rows, args.out)
+    export.domain_distribution(df).orderBy(F.desc("pairs"), "domain").show()
+    return 0
+
+
+def _evaluate_seeds(spark, work, args):
+    rows = seeds.parse_seeds(spark.read.text(args.seeds)).dropDuplicates(["text"]).withColumn("key", F.sha2("text", 256))
+    found = stored(student.cross_validate(rows, "key", args.folds), "folds")
+    metrics.class_report(found).orderBy("label").show(1000, truncate=False)
+    metrics.f1_summary(found, ("fold",)).orderBy("fold").show()
+    metrics.f1_summary(found).show()
+    names = sorted(r.truth for r in found.select("truth").distinct().collect())
+    metrics.confusion_matrix(found, names).orderBy("truth").show(1000, truncate=False)
+    return 0
+
+
+def _label_gold(spark, work, args):
+    """1 to 9 choose a domain, s skips, q quits; each answer is saved at once, and a later session goes on."""
+    at, done = Path(work.need(f"{work.gold}/gold_to_label.csv", "make-gold")), Path(f"{work.gold}/gold_labelled.csv")
+    read = lambda p: list(csv.DictReader(p.open(encoding="utf-8-sig", newline=""))) if p.exists() else []
+    labelled = read(done)
+    known = {r["english"] for r in labelled if r["domain"]}
+    for r in read(at):
+        if r["english"] in known:
+            continue
+        print(r["english"][:300])
+        print(*(f"{i} {d}" for i, d in enumerate(PRODUCTION.names, 1)))
+        answer = sys.stdin.readline().strip()
+        if answer in ("q", ""):
+            break
+        if answer.isdigit() and 1 <= int(answer) <= len(PRODUCTION.names):
+            labelled.append({**r, "domain": PRODUCTION.names[int(answer) - 1]})
+            with done.open("w", encoding="utf-8-sig", newline="") as f:
+                out = csv.DictWriter(f, list(r))
+                out.writeheader()
+                out.writerows(labelled)
+    print(len(labelled), "labelled")
+    return 0
+
+
 def _all(spark, work, args):
     _stage1(spark, work, args)
     return _finish(spark, work, args)

@@ -7,10 +7,13 @@ a linear softmax over word and character n-grams.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 TOKEN_PATTERN = "[a-z]+"
 
 
@@ -41,6 +44,24 @@ class NaiveBayes:
         return scored.join(best, key).where(F.round("s", 9) == F.round("top", 9)).groupBy(key).agg(F.min("label").alias("predicted"))
 
 
+def cross_validate(seeds: DataFrame, key: str, k: int = 5, fit=None) -> DataFrame:
+    """key, fold, truth, pred: each seed's prediction by a student that was trained without its fold.
+
+    seeds: key, label, text. Labels of fewer than ``k`` rows are left out. ``fit(rows)`` gives a function
+    from (rows, key) to key and predicted; by default it is naive Bayes. One student is trained per fold.
+    """
+    from .metrics import assign_folds
+
+    fit = fit or (lambda rows: NaiveBayes(rows).predict)
+    rows = stored(assign_folds(seeds.select(key, "label", "text"), "label", key, k), "folds")
+    out = []
+    for f in range(k):
+        own = rows.where(F.col("fold") == f)
+        predicted = fit(rows.where(F.col("fold") != f))(own, key)
+        out.append(own.select(key, "fold", F.col("label").alias("truth")).join(predicted.select(key, F.col("predicted").alias("pred")), key))
+    return reduce(DataFrame.unionByName, out)
+
+
 def model_key(seeds: DataFrame, **params: object) -> str:
     """Names a trained model by its seeds and parameters, so that a change of either trains anew."""
     of_seeds = seeds.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("label", "text")).alias("x")).first()

@@ -392,6 +392,23 @@ def nb_student(spark, sf_dir):
     return model.predict(rows.where("fold = 0"), "doc_id")
 
 
+_CV = """, parts AS (SELECT *, part AS y FROM (SELECT *, ((row_number() OVER (PARTITION BY part ORDER BY md5('7:' || doc_id), doc_id) - 1) % 5)::INT AS f FROM judged) WHERE part IN (SELECT part FROM judged GROUP BY part HAVING count(*) >= 5)),
+ks AS (SELECT unnest(range(5)) AS k), words AS (SELECT doc_id, f, y, token, count(*) AS n FROM (SELECT doc_id, f, y, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS token FROM parts) GROUP BY ALL),
+counts AS (SELECT k, y AS label, token, sum(n) AS n FROM words JOIN ks ON f <> k GROUP BY ALL), totals AS (SELECT k, label, sum(n) AS total FROM counts GROUP BY ALL), vocabulary AS (SELECT k, count(DISTINCT token) AS v FROM counts GROUP BY k),
+priors AS (SELECT d.k, d.label, ln(d.n::DOUBLE) AS prior, ln(1.0::DOUBLE / (coalesce(total, 0) + v)) AS unseen FROM (SELECT k, y AS label, count(*) AS n FROM parts JOIN ks ON f <> k GROUP BY ALL) d LEFT JOIN totals t ON t.k = d.k AND t.label = d.label JOIN vocabulary v ON v.k = d.k),
+known AS (SELECT w.* FROM words w WHERE EXISTS (SELECT 1 FROM counts c WHERE c.k = w.f AND c.token = w.token)),
+gains AS (SELECT w.doc_id, c.label, sum(w.n * ln(1.0::DOUBLE + c.n)) AS gain FROM known w JOIN counts c ON c.k = w.f AND c.token = w.token GROUP BY ALL), lengths AS (SELECT doc_id, sum(n) AS length FROM known GROUP BY doc_id),
+scores AS (SELECT p.doc_id, p.f, p.y, q.label, q.prior + coalesce(length, 0) * unseen + coalesce(gain, 0) AS s FROM parts p JOIN priors q ON q.k = p.f LEFT JOIN lengths l ON l.doc_id = p.doc_id LEFT JOIN gains g ON g.doc_id = p.doc_id AND g.label = q.label)
+SELECT doc_id, f AS fold, y AS truth, min(label) AS pred FROM (SELECT *, max(s) OVER (PARTITION BY doc_id) AS top FROM scores) WHERE round(s, 9) = round(top, 9) GROUP BY ALL"""
+
+
+@query(_sql("", "judged").rstrip() + _CV)
+def student_folds(spark, sf_dir):
+    """Each labelled document's language by a naive Bayes that was trained without its fold."""
+    rows = judged(spark, sf_dir).select("doc_id", F.col("part").alias("label"), "text")
+    return student.cross_validate(rows, "doc_id")
+
+
 def _ml(spark, sf_dir):
     rows = metrics.assign_folds(judged(spark, sf_dir), "truth", "doc_id").select("doc_id", F.substring("text", 1, 400).alias("text"), F.col("truth").alias("label"), "fold")
     model = student.train(rows.where("fold <> 0").select("text", "label"), word_ngrams=1, chars=(3, 3), features=1 << 10, max_iter=5)

@@ -72,7 +72,7 @@ class Taxonomy:
         return sorted(label for label in self.claims() if label not in direct)
 
     def prompt(self, slot: str = "{sent}") -> str:
-        """The teacher's instruction, with a slot for the sentence."""
+        """The teacher's instruction (its wording is a fixed value), with a slot for the sentence."""
         listed = "\n".join(f"- {d.name}: {d.description}" for d in self.domains)
         return f"Classify this English sentence into exactly one domain.\n\n{listed}\n\nReply with only the domain name, nothing else.\nSentence: {slot}"
 

@@ -16,7 +16,7 @@ def stage1_pass(spark: SparkSession, source: str, schema: str, out: str, checkpo
 
     Each micro-batch is committed as a whole, so a lost run repeats the batch in flight at most and a
     finished file is never scored again. With a budget no further batch begins once it is spent; the next
-    pass goes on from there. Returns batches, rows and whether the pass was stopped.
+    pass goes on from there. Returns batches, rows, rows_per_second and whether the pass was stopped.
     """
     began = time.monotonic()
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
@@ -26,7 +26,7 @@ def stage1_pass(spark: SparkSession, source: str, schema: str, out: str, checkpo
         q = start().trigger(availableNow=True).start()
         q.awaitTermination()
         progress = q.recentProgress
-        return {"batches": len([p for p in progress if p["numInputRows"]]), "rows": sum(p["numInputRows"] for p in progress), "stopped": False}
+        return _summary(progress, began, False)
     q = start().trigger(processingTime="0 seconds").start()
     stopped = False
     while q.isActive:
@@ -38,8 +38,17 @@ def stage1_pass(spark: SparkSession, source: str, schema: str, out: str, checkpo
             break
         time.sleep(0.2)
     q.stop()
-    progress = [p for p in q.recentProgress if p["numInputRows"]]
-    return {"batches": len(progress), "rows": sum(p["numInputRows"] for p in progress), "stopped": stopped}
+    return _summary(q.recentProgress, began, stopped)
+
+
+def _summary(progress: list, began: float, stopped: bool) -> dict:
+    rows = [p["numInputRows"] for p in progress if p["numInputRows"]]
+    return {"batches": len(rows), "rows": sum(rows), "rows_per_second": round(sum(rows) / max(1e-3, time.monotonic() - began), 1), "stopped": stopped}
+
+
+def minutes_left(total: int, done: int, rows_per_second: float) -> float | None:
+    """At the rate of the last pass; None if that did nothing."""
+    return round((total - done) / rows_per_second / 60, 1) if rows_per_second > 0 else None
 
 
 def progress(source: DataFrame, done: DataFrame) -> DataFrame:

@@ -117,4 +117,13 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     assert (tmp_path / "w/gold/gold_to_label.csv").exists() and (tmp_path / "w/classified.csv").exists()
     (tmp_path / "gold.csv").write_text("truth,pred,part\nA,A,random\nB,A,random\n")
     assert run("evaluate", f"{tmp_path}/gold.csv") == 0
-    assert "stage 1 (direct)" in capsys.readouterr().out
+    for out in ("p.csv", "p.xlsx", "p.zip"):
+        assert run("predict-file", f"{tmp_path}/in/a.csv", "--out", f"{tmp_path}/{out}") == 0
+    assert len(xlsx.read_rows(f"{tmp_path}/p.xlsx")) == 5 and (tmp_path / "p.csv").read_text(encoding="utf-8-sig").count("\n") == 5
+    (tmp_path / "seeds.txt").write_text("\n".join(f"__label__{d} {w} number {i}" for d, w in (("Tech", "computer"), ("Law", "court")) for i in range(6)))
+    assert run("evaluate-seeds", f"{tmp_path}/seeds.txt", "--folds", "3") == 0
+    monkeypatch.setattr("sys.stdin", io.StringIO("1\ns\n9\nq\n"))
+    assert run("label-gold") == 0
+    monkeypatch.setattr("sys.stdin", io.StringIO("2\nq\n"))
+    assert run("label-gold") == 0
+    assert "stage 1 (direct)" in (said := capsys.readouterr().out) and "2 labelled" in said and "3 labelled" in said

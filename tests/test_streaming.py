@@ -15,7 +15,9 @@ def test_a_second_pass_does_only_what_is_new(spark, tmp_path):
     add(spark, source, 0, 5)
     add(spark, source, 5, 5)
     go = lambda **k: incremental.stage1_pass(spark, source, SCHEMA, out, at, SCORER, SYNTHETIC, **k)
-    assert go() == {"batches": 2, "rows": 10, "stopped": False}
+    first = go()
+    assert (first["batches"], first["rows"], first["stopped"]) == (2, 10, False)
+    assert incremental.minutes_left(10, 4, 0.1) == 1.0 and incremental.minutes_left(10, 4, 0) is None and first["rows_per_second"] > 0
     assert go()["rows"] == 0
     add(spark, source, 10, 4)
     assert go()["rows"] == 4
