@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, byte_cnn, chunk_dedup, id_store, language_id, line_templates, repetition_rules, severity, simhash_dedup, template_decontam
+from . import bpe_codec, byte_cnn, chunk_dedup, id_store, language_id, line_templates, oracles, repetition_rules, severity, simhash_dedup, template_decontam
 from .common import table
 
 
@@ -24,7 +24,8 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition_rules.score_repetition(table(spark, sf_dir, "documents"))
+    scored = repetition_rules.score_repetition(table(spark, sf_dir, "documents"))
+    return scored.drop("longest_repeat", "covered_fraction")  # which the SQL can't give
 
 
 def op5_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,4 +58,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_repetition_rules": oracles.REPETITION, "op6_line_templates": oracles.LINE_TEMPLATES}
