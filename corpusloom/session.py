@@ -47,15 +47,23 @@ def stored(df: DataFrame, what: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once per application, so that executors need no copy of it."""
+    """Sends this package to the Python workers, once per application, so that executors need no copy of it.
+
+    It goes through the shared folder, whatever file system that is on.
+    """
     sc = spark.sparkContext
     if getattr(sc, "_corpusloom_shipped", False):
         return
     root, data = Path(__file__).parent, io.BytesIO()
+    if not root.is_dir():  # imported from an archive, which the application has sent itself
+        return
     with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
         for path in sorted(root.rglob("*.py")):
             z.writestr(zipfile.ZipInfo(str(path.relative_to(root.parent))), path.read_bytes())
-    at = Path(tempfile.mkdtemp(prefix="corpusloom-")) / f"corpusloom-{hashlib.sha256(data.getvalue()).hexdigest()[:12]}.zip"
-    at.write_bytes(data.getvalue())
-    sc.addPyFile(str(at))
+    at = f"{shared_dir(spark)}/corpusloom-{hashlib.sha256(data.getvalue()).hexdigest()[:12]}.zip"
+    path = sc._jvm.org.apache.hadoop.fs.Path(at)
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    out.write(data.getvalue())
+    out.close()
+    sc.addPyFile(at)
     sc._corpusloom_shipped = True
