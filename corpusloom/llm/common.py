@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import shared_dir, ship, stored
 
 #: Bytes of text that a Python worker handles at once; a longer single text makes a chunk of its own.
 CHUNK_BYTES = 6 << 20
@@ -22,35 +20,16 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A folder that the driver and all executors see.
-
-    It is the session's ``spark.checkpoint.dir``. Where that is unset, a local master gets a temporary
-    folder, set as the checkpoint folder; any other master uses the warehouse, which is shared too.
-    """
-    sc = spark.sparkContext
-    if at := spark.conf.get("spark.checkpoint.dir", None):
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(at)
-        return at.rstrip("/")
-    if sc.getCheckpointDir() is None:
-        local = sc.master == "local" or sc.master.startswith("local[")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-") if local else spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
-    return sc.getCheckpointDir().rstrip("/")
-
-
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and stored in the shared folder (a reliable checkpoint), for small tables."""
-    shared_dir(df.sparkSession)
+    at, sc = shared_dir(df.sparkSession), df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(at)
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """``df`` written as Parquet under a new name in the shared folder, and read back."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: ``written(df, name)``: df written as Parquet under a new name in the shared folder, and read back.
+written = stored
 
 
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import line_templates, repetition_rules
+from . import line_templates, repetition_rules, template_decontam
 
 #: Windows of words found twice or more in their text, by plain grouping instead of a suffix array.
 REPETITION = f"""
@@ -37,3 +37,29 @@ marked AS (SELECT k.*, g.key IS NOT NULL AS dropped FROM k LEFT JOIN gone g ON g
 SELECT doc_id, CASE WHEN bool_or(dropped) AND NOT bool_or(key <> '' AND NOT dropped) THEN '' ELSE coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '') END AS text, count(*) FILTER (key <> '') AS n_lines, count(*) FILTER (dropped) AS n_dropped FROM marked GROUP BY doc_id
 UNION ALL SELECT doc_id, NULL, 0, 0 FROM documents WHERE text IS NULL
 """
+
+#: RE2 has no lookbehind: what stands around a name or unit is matched and put back, and names are replaced twice,
+#: as a match uses up the blank that the next name needs.
+_NAME = r"([\p{Ll}\p{N},;:] )\p{Lu}\p{Ll}+([^\p{L}\p{N}\p{M}]|$)"
+_UNIT = rf"(?i)\p{{N}}+( ?)(?:{'|'.join(template_decontam.UNITS)})([^\p{{L}}\p{{N}}\p{{M}}]|$)"
+_SPLIT = "list_filter(regexp_split_to_array(lower({}), '[^\\p{{L}}\\p{{N}}\\p{{M}}]+'), lambda x: x <> '')"
+_W = template_decontam.WINDOW
+
+DECONTAMINATION = rf"""
+WITH src AS (SELECT true AS is_doc, doc_id AS id, text FROM documents WHERE text IS NOT NULL UNION ALL SELECT false, item_id, text FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+named AS (SELECT *, regexp_replace(regexp_replace(text, '{_NAME}', '\10n\2', 'g'), '{_NAME}', '\10n\2', 'g') AS named FROM src),
+typed AS (SELECT *, CASE WHEN regexp_matches(text, '\p{{N}}') THEN regexp_replace(regexp_replace(named, '{_UNIT}', '0\10u\2', 'g'), '\p{{N}}+', '0', 'g') ELSE named END AS typed FROM named),
+c AS (SELECT is_doc, id, {_SPLIT.format("text")} AS raw, {_SPLIT.format("typed")} AS canon FROM typed),
+items AS (SELECT DISTINCT id AS item_id, raw, canon, len(canon) AS size FROM c WHERE NOT is_doc AND len(canon) >= {template_decontam.MIN_TOKENS} AND len(raw) = len(canon)),
+iw AS (SELECT item_id, pos, array_to_string(canon[pos + 1:pos + {_W}], ' ') AS h FROM (SELECT item_id, canon, unnest(range(0, size - {_W - 1})) AS pos FROM items)),
+dw AS (SELECT id AS doc_id, nth, array_to_string(canon[nth * {_W} + 1:nth * {_W} + {_W}], ' ') AS h FROM (SELECT id, canon, unnest(range(0, len(canon) // {_W})) AS nth FROM c WHERE is_doc)),
+hits AS (SELECT DISTINCT doc_id, item_id, nth * {_W} - pos AS shift FROM dw JOIN iw ON dw.h = iw.h),
+place AS (SELECT h.doc_id, h.item_id, h.shift, i.size, i.raw AS iraw, i.canon AS icanon, d.raw AS draw, d.canon AS dcanon, unnest(range(0, i.size)) AS pos FROM hits h JOIN items i ON i.item_id = h.item_id JOIN c d ON d.is_doc AND d.id = h.doc_id),
+pairs AS (SELECT doc_id, item_id, shift, size, pos, iraw[pos + 1] AS own, CASE WHEN pos + shift >= 0 THEN draw[pos + shift + 1] END AS other, coalesce(CASE WHEN pos + shift >= 0 THEN dcanon[pos + shift + 1] END = icanon[pos + 1], false) AS same, icanon[pos + 1] IN ('0', '0u', '0n') AS slot FROM place),
+fills AS (SELECT doc_id, item_id, shift, own, count(DISTINCT other) AS others FROM pairs WHERE same AND slot GROUP BY ALL),
+slots AS (SELECT doc_id, item_id, shift, sum(others) AS n_slots FROM fills GROUP BY ALL),
+fits AS (SELECT p.*, p.same AND (NOT p.slot OR f.others = 1) AS fits FROM pairs p LEFT JOIN fills f ON f.doc_id = p.doc_id AND f.item_id = p.item_id AND f.shift = p.shift AND f.own = p.own),
+agree AS (SELECT * FROM (SELECT doc_id, item_id, shift, size, pos, bool_and(fits) OVER (PARTITION BY doc_id, item_id, shift ORDER BY pos ROWS BETWEEN CURRENT ROW AND {_W - 1} FOLLOWING) AS ok FROM fits) WHERE ok AND pos + {_W} <= size),
+found AS (SELECT a.doc_id, a.item_id, count(DISTINCT pos) AS n_windows, (any_value(size) - {_W - 1})::BIGINT AS item_windows, coalesce(max(n_slots), 0)::BIGINT AS n_slots FROM agree a LEFT JOIN slots s ON s.doc_id = a.doc_id AND s.item_id = a.item_id AND s.shift = a.shift GROUP BY a.doc_id, a.item_id)
+SELECT doc_id, item_id, n_windows, item_windows, n_windows::DOUBLE / item_windows AS share, n_slots FROM found WHERE n_windows >= {template_decontam.MIN_WINDOWS} OR n_windows::DOUBLE / item_windows >= {template_decontam.MIN_SHARE}
+"""

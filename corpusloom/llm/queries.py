@@ -58,4 +58,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_repetition_rules": oracles.REPETITION, "op6_line_templates": oracles.LINE_TEMPLATES}
+    return {"op1_template_decontam": oracles.DECONTAMINATION, "op4_repetition_rules": oracles.REPETITION, "op6_line_templates": oracles.LINE_TEMPLATES}
