@@ -210,16 +210,36 @@ class WordEncoder:
         settings = json.loads(tokenizer_json)
         self.lowers = '"Lowercase"' in json.dumps(settings["normalizer"])
         self.cuts = all(x in json.dumps(settings["pre_tokenizer"]) for x in (r"[\\p{L}]+|", r"|[^\\s\\p{L}\\p{N}]+"))
+        # Characters of text that a token stands for, as long as the text is ASCII.
+        mark = settings["model"].get("end_of_word_suffix") or ""
+        pieces = (self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size()))
+        self.widths = np.array([len(x.removesuffix(mark)) for x in pieces], np.int64)
         self.known: dict[str, int] = {}
         self.sizes = np.zeros(1024, np.int64)
         self.starts = np.zeros(1024, np.int64)
         self.ids = np.zeros(1 << 16, np.int32)
         self.n = self.used = 0
 
-    def _add(self, words: list[str]) -> None:
+    def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids and their number per word from one text of all the words, which is quicker than one by one.
+
+        The words' ends are found by the lengths of the tokens; None if they don't fit.
+        """
+        flat = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.int32)
+        ends, wanted = np.cumsum(self.widths[flat]), np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        at = np.searchsorted(ends, wanted)
+        if not len(flat) or at[-1] != len(ends) - 1 or not np.array_equal(ends[at], wanted):
+            return None
+        return flat, np.diff(at, prepend=-1)
+
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         got = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        size = np.array([len(x) for x in got], np.int64)
-        flat = np.fromiter(itertools.chain.from_iterable(got), np.int32, int(size.sum()))
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(itertools.chain.from_iterable(got), np.int32, int(size.sum())), size
+
+    def _add(self, words: list[str]) -> None:
+        """Adds words that are all ASCII or, if not, are encoded one by one."""
+        flat, size = (self._together(words) if words[0].isascii() else None) or self._each(words)
         while self.n + len(words) > len(self.sizes):
             self.sizes, self.starts = np.resize(self.sizes, 2 * len(self.sizes)), np.resize(self.starts, 2 * len(self.starts))
         while self.used + len(flat) > len(self.ids):
@@ -241,8 +261,12 @@ class WordEncoder:
         at = np.fromiter(map(known.get, names, itertools.repeat(-1)), np.int64, len(names))
         missing = np.flatnonzero(at < 0)
         keep = self.n, self.used
-        for a in range(0, len(missing), 4096):
-            self._add([names[i] for i in missing[a : a + 4096].tolist()])
+        new = [names[i] for i in missing.tolist()]
+        simple = np.fromiter(map(str.isascii, new), bool, len(new))
+        missing = np.concatenate([missing[simple], missing[~simple]])
+        for part in ([w for w, x in zip(new, simple, strict=True) if x], [w for w, x in zip(new, simple, strict=True) if not x]):
+            for a in range(0, len(part), 4096):
+                self._add(part[a : a + 4096])
         at[missing] = np.arange(keep[0], self.n)
         if full := len(known) + len(missing) > CACHE_WORDS:
             keep_n, keep_used = keep
