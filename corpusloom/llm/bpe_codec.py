@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from . import common
 
 #: Entries of a worker's pre-token cache; it starts anew when full, so memory stays bounded.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 #: A pre-token of more characters isn't cached.
 CACHE_CHARS = 64
 

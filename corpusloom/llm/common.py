@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..session import shared_dir, ship, stored
 
 #: Bytes of text that a Python worker handles at once; a longer single text makes a chunk of its own.
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 3 << 20
 
 #: ASCII white space as bytes: space and \t \n \v \f \r.
 _SPACE = np.zeros(256, bool)
@@ -49,6 +49,7 @@ def chunks(it: Iterator[pa.RecordBatch], column: int, most: int = CHUNK_BYTES) -
             to = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
             yield batch.slice(at, to - at)
             at = to
+        pa.default_memory_pool().release_unused()  # workers live on and share the executor's memory
 
 
 def compact(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -26,7 +26,7 @@ ROUNDS = 2
 #: Longer words are cut into parts of so many characters, so that no product underflows.
 WORD_CHARS = 24
 #: Words of a worker's cache, and words that one lattice holds.
-CACHE_WORDS, LATTICE_WORDS = 200_000, 16_384
+CACHE_WORDS, LATTICE_WORDS = 150_000, 8_192
 UNDETERMINED = "und"
 _MARK = "▁"
 
