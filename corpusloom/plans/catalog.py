@@ -410,8 +410,8 @@ def student_folds(spark, sf_dir):
 
 
 def _ml(spark, sf_dir):
-    rows = metrics.assign_folds(judged(spark, sf_dir), "truth", "doc_id").select("doc_id", F.substring("text", 1, 400).alias("text"), F.col("truth").alias("label"), "fold")
-    model = student.train(rows.where("fold <> 0").select("text", "label"), word_ngrams=1, chars=(3, 3), features=1 << 10, max_iter=5)
+    rows = metrics.assign_folds(judged(spark, sf_dir), "truth", "doc_id").select("doc_id", "text", F.col("truth").alias("label"), "fold")
+    model = student.train(rows.where("fold <> 0").select("text", "label"))
     return model, rows.where("fold = 0").select("doc_id", "text")
 
 

@@ -39,6 +39,19 @@ def test_query_without_sql_runs(spark, name):
     assert catalog.queries()[name](spark, SF).count() > 0
 
 
+def test_students_see_whole_texts(spark, tmp_path):
+    """Texts that differ behind their first 400 characters only."""
+    marks = ["kind", "stupid idiot", "%%% noise", "%%% stupid trash"]
+    docs = [(i, f"{'the same beginning of all texts ' * 20}{marks[i % 4]} {'and end' * (i % 3)}", "en") for i in range(80)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1 - i % 4 // 2, i % 2) for i in range(80)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    truth = ["good_clean", "good_toxic", "poor_clean", "poor_toxic"]
+    got = catalog.queries()["ml_student"](spark, str(tmp_path)).collect()
+    assert len(got) == 16 and all(r.predicted == truth[r.doc_id % 4] for r in got)
+    top = catalog.queries()["stage2_topk"](spark, str(tmp_path)).where("rank = 0").collect()
+    assert len(top) == 16 and all(r.label == truth[r.doc_id % 4] for r in top)
+
+
 def test_entry(spark):
     df = __spark_entry__.entry(spark)
     assert df.columns == ["domain", "pairs", "share"] and df.count() > 0
