@@ -4,9 +4,11 @@ A text's tokens are its runs of letters, marks and digits, in lower case. Number
 names (capitalised words within a sentence) become the typed placeholders ``0``, ``0u`` and ``0n``, so a
 question with other numbers or names has the same template. Benchmark items give all their windows of
 ``WINDOW`` tokens; a document gives only every ``WINDOW``-th of its own, which is enough to meet any passage
-of 2 * WINDOW - 1 tokens. Hash hits tell the item and the place; there the whole item is compared token by
-token. Windows count if their tokens agree and their slots are consistent: one value of the item always
-stands against one value of the document.
+of 2 * WINDOW - 1 tokens. Both give them twice, with and without placeholders, as a copy in other case or with
+other line breaks has its names elsewhere or nowhere. Hash hits tell the item and the place; there the whole
+item is compared token by token. Windows count if their tokens agree and their slots are consistent: one value
+of the item always stands against one value of the document. Where too few count for the item to be found, those
+count too whose tokens are each the same word or such a match.
 """
 
 from __future__ import annotations
@@ -52,6 +54,12 @@ def _window_hashes(tokens: Column, step: int) -> Column:
     return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda k: F.xxhash64(F.slice(tokens, k * step + 1, WINDOW)))).otherwise(F.array().cast("array<bigint>"))
 
 
+def _paired_hashes(canon: Column, raw: Column, step: int) -> Column:
+    """For each window the hashes of its canonical and of its own tokens, once if they are the same."""
+    hashes = [_let(tokens, lambda t: _window_hashes(t, step)) for tokens in (canon, raw)]
+    return F.zip_with(*hashes, lambda c, r: F.array_distinct(F.array(c, r)))
+
+
 def items_of(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """item_id, raw and canon (token arrays) of the items that are long enough."""
     own = benchmark.select(F.col(f"`{id_col}`").alias("item_id"), F.col(f"`{text_col}`").alias("t")).where("item_id is not null and t is not null")
@@ -62,17 +70,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_W
     """One row per document and item found in it: doc_id, item_id, n_windows, item_windows, share, n_slots.
 
     n_windows counts the item's windows that agree with the document at one place or another, item_windows
-    all of the item's; n_slots is the most slots that a place fills. Null texts and items hold nothing;
+    all of the item's; n_slots is the most slots that a place fills with placeholders of both sides. Null texts and items hold nothing;
     rows of null doc_id are searched too, as one document. Rows of one doc_id count as one document; of
     repeated item rows one is enough. An empty table on either side gives an empty result. Other columns are
     ignored.
     """
     items = common.cut(items_of(benchmark).dropDuplicates(["item_id", "raw", "canon"]))
-    windows = items.select("item_id", F.size("canon").alias("size"), F.posexplode(_let(F.col("canon"), lambda t: _window_hashes(t, 1))).alias("at", "h"))
+    windows = items.select("item_id", F.size("canon").alias("size"), F.posexplode(_paired_hashes(F.col("canon"), F.col("raw"), 1)).alias("at", "hs")).select("item_id", "size", "at", F.explode("hs").alias("h"))
     if windows.count() <= BROADCAST_WINDOWS:
         windows = F.broadcast(windows)
     texts = common.own_columns(docs, "doc_id", "text").where("text is not null")
-    blocks = texts.select("doc_id", F.posexplode(_let(_tokens(canonical(F.col("text"))), lambda t: _window_hashes(t, WINDOW))).alias("nth", "h"))
+    blocks = texts.select("doc_id", F.posexplode(_paired_hashes(_tokens(canonical(F.col("text"))), _tokens(F.col("text")), WINDOW)).alias("nth", "hs")).select("doc_id", "nth", F.explode("hs").alias("h"))
     hits = blocks.join(windows, "h").select("doc_id", "item_id", (F.col("nth") * WINDOW - F.col("at")).alias("shift")).distinct()
     places = hits.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "shift")).alias("places")).withColumnRenamed("doc_id", "_id")
     held = texts.join(places, F.col("doc_id").eqNullSafe(F.col("_id"))).select("doc_id", "places", _tokens(F.col("text")).alias("raw"), _tokens(canonical(F.col("text"))).alias("canon"))
@@ -86,18 +94,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_W
             x["item_raw"].alias("own"),
             F.get("raw", i + F.col("shift")).alias("other"),
             F.coalesce(F.get("canon", i + F.col("shift")) == x["item_canon"], F.lit(False)).alias("same"),
+            F.coalesce(F.get("raw", i + F.col("shift")) == x["item_raw"], F.lit(False)).alias("equal"),
             x["item_canon"].isin("0", "0u", "0n").alias("slot"),
         ),
     )
     slots_of = lambda p: F.array_distinct(F.transform(F.filter(p, lambda x: x["same"] & x["slot"]), lambda x: F.struct(x["own"].alias("own"), x["other"].alias("other"))))
     fit = lambda x, slots: x["same"] & (~x["slot"] | (F.size(F.filter(slots, lambda s: s["own"] == x["own"])) == 1))
-    agree = lambda fits: F.filter(F.sequence(F.lit(0), F.size(fits) - WINDOW), lambda i: F.forall(F.slice(fits, i + 1, WINDOW), lambda x: x))
-    judged = _let(pairs, lambda p: _let(slots_of(p), lambda slots: F.struct(F.size(slots).alias("n_slots"), _let(F.transform(p, lambda x: fit(x, slots)), agree).alias("agree"))))
-    found = both.select("doc_id", "item_id", (F.size("item_canon") - WINDOW + 1).alias("item_windows"), judged.alias("judged")).select("doc_id", "item_id", "item_windows", "judged.n_slots", "judged.agree")
-    each = found.select("doc_id", "item_id", "item_windows", "n_slots", F.explode("agree").alias("w")).groupBy("doc_id", "item_id", "w").agg(F.max("item_windows").alias("item_windows"), F.max("n_slots").alias("n_slots"))
-    out = each.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_windows"), F.max("item_windows").cast("long").alias("item_windows"), F.max("n_slots").cast("long").alias("n_slots"))
-    share = F.col("n_windows") / F.col("item_windows")
-    return out.where((F.col("n_windows") >= min_windows) | (share >= min_share)).select("doc_id", "item_id", "n_windows", "item_windows", share.alias("share"), "n_slots")
+    typed = lambda x, slots: F.struct(fit(x, slots).alias("typed"), (x["equal"] | fit(x, slots)).alias("fits"))
+    run = lambda p, i, c: F.forall(F.slice(p, i + 1, WINDOW), lambda x: x[c])
+    agree = lambda p: F.filter(F.transform(F.sequence(F.lit(0), F.size(p) - WINDOW), lambda i: F.struct(i.alias("w"), run(p, i, "typed").alias("typed"), run(p, i, "fits").alias("fits"))), lambda x: x["fits"])
+    judged = _let(pairs, lambda p: _let(slots_of(p), lambda slots: F.struct(F.size(slots).alias("n_slots"), _let(F.transform(p, lambda x: typed(x, slots)), agree).alias("agree"))))
+    found = both.select("doc_id", "item_id", (F.size("item_canon") - WINDOW + 1).alias("item_windows"), judged.alias("judged")).select("doc_id", "item_id", "item_windows", "judged.n_slots", F.explode("judged.agree").alias("a"))
+    own_slots = F.max(F.when(F.col("a.typed"), F.col("n_slots")))
+    each = found.groupBy("doc_id", "item_id", "a.w").agg(F.max("item_windows").alias("item_windows"), F.max("n_slots").alias("n_slots"), own_slots.alias("typed_slots"))
+    total = each.groupBy("doc_id", "item_id").agg(F.count("*").alias("n"), F.count("typed_slots").alias("n_typed"), F.max("item_windows").cast("long").alias("item_windows"), F.max("n_slots").cast("long").alias("slots"), F.max("typed_slots").cast("long").alias("typed_slots"))
+    enough = lambda n: (n >= min_windows) | (n / F.col("item_windows") >= min_share)
+    either = lambda a, b: F.when(enough(F.col("n_typed")), F.col(a)).otherwise(F.col(b))
+    out = total.where(enough(F.col("n"))).select("doc_id", "item_id", either("n_typed", "n").alias("n_windows"), "item_windows", either("typed_slots", "slots").alias("n_slots"))
+    return out.select("doc_id", "item_id", "n_windows", "item_windows", (F.col("n_windows") / F.col("item_windows")).alias("share"), "n_slots")
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -23,6 +23,17 @@ def test_other_values_in_the_same_slots_are_found(frame, items):
     assert (3, 10) not in got  # one value of the item stands against two
 
 
+def test_copies_in_other_case_or_lines_are_found(frame, items):
+    wrapped = QUESTION.replace(" Maria", "\nMaria").replace(" Peter", "\n Peter")
+    half = QUESTION.replace("and then Maria sold", "and then maria sold").replace("trader Maria", "trader Alice")
+    docs = frame([(1, QUESTION.upper()), (2, QUESTION.lower()), (3, wrapped), (4, f"before it {QUESTION.title()} after"), (5, QUESTION), (6, half), (7, "the trader sold tin to peter")])
+    got = {r.doc_id: r for r in T.contaminated(docs, items([(10, QUESTION)])).collect()}
+    assert set(got) == {1, 2, 3, 4, 5, 6}
+    assert all(got[d].share == 1 for d in (1, 2, 5))
+    # an item in capitals is met by its usual spelling, too
+    assert found(frame([(1, QUESTION)]), items([(10, QUESTION.upper())])) == {(1, 10)}
+
+
 def test_canonical_keeps_the_number_of_tokens(spark, frame):
     from pyspark.sql import functions as F
 
