@@ -40,26 +40,33 @@ UNION ALL SELECT doc_id, NULL, 0, 0 FROM documents WHERE text IS NULL
 
 #: RE2 has no lookbehind: what stands around a name or unit is matched and put back, and names are replaced twice,
 #: as a match uses up the blank that the next name needs.
-_NAME = r"([\p{Ll}\p{N},;:] )\p{Lu}\p{Ll}+([^\p{L}\p{N}\p{M}]|$)"
-_UNIT = rf"(?i)\p{{N}}+( ?)(?:{'|'.join(template_decontam.UNITS)})([^\p{{L}}\p{{N}}\p{{M}}]|$)"
-_SPLIT = "list_filter(regexp_split_to_array(lower({}), '[^\\p{{L}}\\p{{N}}\\p{{M}}]+'), lambda x: x <> '')"
-_W = template_decontam.WINDOW
+_T = template_decontam
+_NAMES = rf"regexp_replace(regexp_replace(text, '([\p{{Ll}}\p{{N}},;:] )\p{{Lu}}\p{{Ll}}+([^\p{{L}}\p{{N}}\p{{M}}]|$)', '\1{_T.NAME}\2', 'g'), '([\p{{Ll}}\p{{N}},;:{_T.NAME}] )\p{{Lu}}\p{{Ll}}+([^\p{{L}}\p{{N}}\p{{M}}]|$)', '\1{_T.NAME}\2', 'g')"
+_PLAIN = rf"trim(regexp_replace(lower({{}}), '[^\p{{{{L}}}}\p{{{{N}}}}\p{{{{M}}}}{_T.NAME}]+', ' ', 'g'))"
+_TYPED = rf"string_split(regexp_replace(regexp_replace({{}}, '\p{{{{N}}}}+( ?)(?:{'|'.join(_T.UNITS)})( |$)', '{_T.NUMBER}\1{_T.UNIT}\2', 'g'), '\p{{{{N}}}}+', '{_T.NUMBER}', 'g'), ' ')"
+_SLOT = f"regexp_matches({{}}, '[{_T.NUMBER}{_T.NAME}]')"
 
+#: Every window of every document against every window of every item, in all forms: no seeds, no hashes.
 DECONTAMINATION = rf"""
-WITH src AS (SELECT true AS is_doc, doc_id AS id, text FROM documents WHERE text IS NOT NULL UNION ALL SELECT false, item_id, text FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
-named AS (SELECT *, regexp_replace(regexp_replace(text, '{_NAME}', '\10n\2', 'g'), '{_NAME}', '\10n\2', 'g') AS named FROM src),
-typed AS (SELECT *, CASE WHEN regexp_matches(text, '\p{{N}}') THEN regexp_replace(regexp_replace(named, '{_UNIT}', '0\10u\2', 'g'), '\p{{N}}+', '0', 'g') ELSE named END AS typed FROM named),
-c AS (SELECT is_doc, id, {_SPLIT.format("text")} AS raw, {_SPLIT.format("typed")} AS canon FROM typed),
-items AS (SELECT DISTINCT id AS item_id, raw, canon, len(canon) AS size FROM c WHERE NOT is_doc AND len(canon) >= {template_decontam.MIN_TOKENS} AND len(raw) = len(canon)),
-iw AS (SELECT item_id, pos, array_to_string(canon[pos + 1:pos + {_W}], ' ') AS h FROM (SELECT item_id, canon, unnest(range(0, size - {_W - 1})) AS pos FROM items)),
-dw AS (SELECT id AS doc_id, nth, array_to_string(canon[nth * {_W} + 1:nth * {_W} + {_W}], ' ') AS h FROM (SELECT id, canon, unnest(range(0, len(canon) // {_W})) AS nth FROM c WHERE is_doc)),
-hits AS (SELECT DISTINCT doc_id, item_id, nth * {_W} - pos AS shift FROM dw JOIN iw ON dw.h = iw.h),
-place AS (SELECT h.doc_id, h.item_id, h.shift, i.size, i.raw AS iraw, i.canon AS icanon, d.raw AS draw, d.canon AS dcanon, unnest(range(0, i.size)) AS pos FROM hits h JOIN items i ON i.item_id = h.item_id JOIN c d ON d.is_doc AND d.id = h.doc_id),
-pairs AS (SELECT doc_id, item_id, shift, size, pos, iraw[pos + 1] AS own, CASE WHEN pos + shift >= 0 THEN draw[pos + shift + 1] END AS other, coalesce(CASE WHEN pos + shift >= 0 THEN dcanon[pos + shift + 1] END = icanon[pos + 1], false) AS same, icanon[pos + 1] IN ('0', '0u', '0n') AS slot FROM place),
-fills AS (SELECT doc_id, item_id, shift, own, count(DISTINCT other) AS others FROM pairs WHERE same AND slot GROUP BY ALL),
-slots AS (SELECT doc_id, item_id, shift, sum(others) AS n_slots FROM fills GROUP BY ALL),
-fits AS (SELECT p.*, p.same AND (NOT p.slot OR f.others = 1) AS fits FROM pairs p LEFT JOIN fills f ON f.doc_id = p.doc_id AND f.item_id = p.item_id AND f.shift = p.shift AND f.own = p.own),
-agree AS (SELECT * FROM (SELECT doc_id, item_id, shift, size, pos, bool_and(fits) OVER (PARTITION BY doc_id, item_id, shift ORDER BY pos ROWS BETWEEN CURRENT ROW AND {_W - 1} FOLLOWING) AS ok FROM fits) WHERE ok AND pos + {_W} <= size),
-found AS (SELECT a.doc_id, a.item_id, count(DISTINCT pos) AS n_windows, (any_value(size) - {_W - 1})::BIGINT AS item_windows, coalesce(max(n_slots), 0)::BIGINT AS n_slots FROM agree a LEFT JOIN slots s ON s.doc_id = a.doc_id AND s.item_id = a.item_id AND s.shift = a.shift GROUP BY a.doc_id, a.item_id)
-SELECT doc_id, item_id, n_windows, item_windows, n_windows::DOUBLE / item_windows AS share, n_slots FROM found WHERE n_windows >= {template_decontam.MIN_WINDOWS} OR n_windows::DOUBLE / item_windows >= {template_decontam.MIN_SHARE}
+WITH src AS (SELECT true AS is_doc, doc_id AS id, text AS whole FROM documents WHERE text IS NOT NULL UNION SELECT false, item_id, text FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+clean AS (SELECT *, translate(whole, '{_T.NAME}', ' ') AS text FROM src),
+plain AS (SELECT is_doc, id, whole, {_PLAIN.format("text")} AS plain, {_PLAIN.format(_NAMES)} AS named FROM clean),
+tokens AS (SELECT is_doc, id, whole, string_split(plain, ' ') AS raw, {_TYPED.format("plain")} AS typed, {_TYPED.format("named")} AS named FROM plain WHERE plain <> ''),
+forms AS (SELECT is_doc, id, whole, raw, 0 AS kind, raw AS form FROM tokens UNION ALL SELECT is_doc, id, whole, raw, 1, typed FROM tokens UNION ALL SELECT is_doc, id, whole, raw, 2, named FROM tokens WHERE named <> typed),
+every AS (SELECT *, greatest(len(raw) - {_T.WINDOW - 1}, 1) AS n_windows, unnest(range(0, greatest(len(raw) - {_T.WINDOW - 1}, 1))) AS pos FROM forms),
+cuts AS (SELECT is_doc, id, whole, kind, n_windows, pos, raw[pos + 1:pos + {_T.WINDOW}] AS own, form[pos + 1:pos + {_T.WINDOW}] AS form FROM every),
+win AS (SELECT *, count(*) OVER (PARTITION BY is_doc, id, whole, kind, form) AS copies FROM cuts WHERE kind = 0 OR form <> own),
+item AS (SELECT * FROM win WHERE NOT is_doc AND (kind = 0 OR (copies = 1 AND n_windows > {_T.MIN_TOKENS - _T.WINDOW} AND len(list_filter(form, lambda x: NOT {_SLOT.format("x")})) > 0))),
+doc AS (SELECT * FROM win WHERE is_doc),
+plainly AS (SELECT DISTINCT d.id AS doc_id, d.whole AS doc, i.id AS item_id, i.whole AS item, i.n_windows, i.pos AS w FROM doc d JOIN item i ON d.form = i.form WHERE d.kind = 0 AND i.kind = 0),
+place AS (SELECT d.id AS doc_id, d.whole AS doc, i.id AS item_id, i.whole AS item, i.n_windows, i.pos AS w, d.pos - i.pos AS shift, i.own AS iown, d.own AS down, i.form, unnest(range(1, {_T.WINDOW + 1})) AS p FROM doc d JOIN item i ON d.form = i.form WHERE d.kind > 0 AND i.kind > 0),
+slot AS (SELECT DISTINCT doc_id, doc, item_id, item, n_windows, w, shift, iown[p] AS own, down[p] AS other FROM place WHERE {_SLOT.format("form[p]")}),
+one AS (SELECT *, min(other) OVER (PARTITION BY doc_id, doc, item_id, item, shift, own) = max(other) OVER (PARTITION BY doc_id, doc, item_id, item, shift, own) AS one FROM slot),
+fits AS (SELECT * FROM (SELECT *, bool_and(one) OVER (PARTITION BY doc_id, doc, item_id, item, shift, w) AS fits FROM one) WHERE fits),
+filled AS (SELECT doc_id, doc, item_id, item, shift, count(DISTINCT own) AS n_slots FROM fits GROUP BY ALL),
+agree AS (SELECT *, 0 AS n_slots FROM plainly UNION ALL SELECT f.doc_id, f.doc, f.item_id, f.item, f.n_windows, f.w, l.n_slots FROM fits f JOIN filled l ON f.doc_id IS NOT DISTINCT FROM l.doc_id AND f.doc = l.doc AND f.item_id = l.item_id AND f.item = l.item AND f.shift = l.shift),
+total AS (SELECT doc_id, item_id, count(DISTINCT w) AS n_windows, n_windows::BIGINT AS item_windows, max(n_slots)::BIGINT AS n_slots FROM agree GROUP BY doc_id, doc, item_id, item, agree.n_windows),
+enough AS (SELECT *, n_windows::DOUBLE / item_windows AS share FROM total WHERE n_windows >= {_T.MIN_WINDOWS} OR n_windows::DOUBLE / item_windows >= {_T.MIN_SHARE}),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY share DESC, n_windows DESC, item_windows DESC, n_slots DESC) AS r FROM enough)
+SELECT doc_id, item_id, n_windows, item_windows, share, n_slots FROM best WHERE r = 1
 """

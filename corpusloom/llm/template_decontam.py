@@ -1,19 +1,19 @@
 """Benchmark decontamination by canonical templates, in DataFrame operations only.
 
-A text's tokens are its runs of letters, marks and digits, in lower case. Numbers, units behind numbers and
-names (capitalised words within a sentence) become the typed placeholders ``0``, ``0u`` and ``0n``, so a
-question with other numbers or names has the same template. Benchmark items give all their windows of
-``WINDOW`` tokens; a document gives only every ``WINDOW``-th of its own, which is enough to meet any passage
-of 2 * WINDOW - 1 tokens. Both give them twice, with and without placeholders, as a copy in other case or with
-other line breaks has its names elsewhere or nowhere. Hash hits tell the item and the place; there the whole
-item is compared token by token. Windows count if their tokens agree and their slots are consistent: one value
-of the item always stands against one value of the document. Where too few count for the item to be found, those
-count too whose tokens are each the same word or such a match.
+A text's tokens are its runs of letters, marks and digits, in lower case. It has up to three forms of the same
+tokens: its own, one with typed placeholders for numbers and for units behind numbers, and one with names
+(capitalised words within a sentence) as placeholders, too. So a question with other numbers, units or names
+has the same template, and a copy in other case or with other line breaks has the same numbers' template.
+
+Every window of ``WINDOW`` tokens of every document, in each form, is joined by its hash with the windows of the
+benchmark. A window of the item agrees if the document has its own tokens somewhere, or its template with
+consistent slots: at a place of the document, one value of the item always stands against one value of the
+document. Windows travel with their own few tokens, so no text is moved or read again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -21,100 +21,143 @@ from . import common
 WINDOW = 5
 #: An item is found if so many of its windows agree, or this share of them.
 MIN_WINDOWS, MIN_SHARE = 9, 0.8
-#: Items of fewer tokens say too little to be found, and aren't looked for.
+#: Items of fewer tokens say too little without their own values: they are found by their own tokens only.
 MIN_TOKENS = 2 * WINDOW - 1
-#: Benchmark windows are broadcast up to this number (some 24 bytes each), and shuffled beyond it.
+#: Benchmark keys are broadcast up to this number (some 24 bytes each), and shuffled beyond it.
 BROADCAST_WINDOWS = 500_000
 
+#: Placeholders; none of them can stand in a token otherwise. A unit's is its number's and this letter.
+NUMBER, UNIT, NAME = "#", "#u", "\ue000"
+
 #: Fixed list of units, longest first where one begins another.
 UNITS = ("kilometers", "kilometres", "kilograms", "centimeters", "meters", "metres", "grams", "liters", "litres", "miles", "pounds", "dollars", "euros", "percent", "degrees", "hours", "minutes", "seconds", "days", "weeks", "months", "years", "inches", "feet", "km", "kg", "cm", "mm", "mg", "ml", "lb", "oz", "ft", "mph", "kmh", "min", "hr", "gb", "mb", "kb", "m", "g", "l", "s", "h")
 
-_SEPARATOR = r"[^\p{L}\p{N}\p{M}]+"
+_SLOT = f"[{NUMBER}{NAME}]"
+_NAME = r"\p{Lu}(?<=[\p{Ll}\p{N},;:] .)\p{Ll}++(?![\p{L}\p{N}\p{M}])"
+#: What tells documents and items apart; ids may be missing or repeated.
+_DOC, _ITEM = ["doc_id", "s1", "s2"], ["item_id", "form"]
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once: a lambda's body would compute an expression for each element."""
-    return F.get(F.transform(F.array(value), use), 0)
+def _plain(text: Column) -> Column:
+    """The lower-case tokens with one blank between two."""
+    return F.trim(F.regexp_replace(F.lower(text), rf"[^\p{{L}}\p{{N}}\p{{M}}{NAME}]+", " "))
 
 
-def _tokens(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(text), _SEPARATOR, -1), "")
+def _typed(plain: Column) -> Column:
+    """Numbers and units behind them as placeholders."""
+    units = F.regexp_replace(plain, rf"\p{{N}}++(?<gap> ?)(?:{'|'.join(UNITS)})(?![^ ])", f"{NUMBER}${{gap}}{UNIT}")
+    return F.regexp_replace(units, r"\p{N}++", NUMBER)
 
 
-def canonical(text: Column) -> Column:
-    """The text with placeholders for values; it has the same number of tokens."""
-    named = F.regexp_replace(text, r"\p{Lu}(?<=[\p{Ll}\p{N},;:] .)\p{Ll}++(?![\p{L}\p{N}\p{M}])", "0n")
-    units = F.regexp_replace(named, rf"(?i)\p{{N}}++(?<gap> ?)(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}\p{{M}}])", "0${gap}0u")
-    return F.when(text.rlike(r"\p{N}"), F.regexp_replace(units, r"\p{N}++", "0")).otherwise(named)
+def with_forms(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``text`` replaced by ``forms``: two or three token arrays of one length, the text's own first.
 
+    A form that can't differ from the one before it is left out. A text without a token has one empty token.
+    """
+    own = rows.withColumn("text", F.translate("text", NAME, " ")).withColumn("plain", _plain(F.col("text")))
+    own = own.withColumn("named", F.when(F.col("text").rlike(_NAME), _plain(F.regexp_replace("text", _NAME, NAME)))).drop("text")
+    numbers = F.col("plain").rlike(r"\p{N}")
+    raw, typed, named = (F.split(c, " ", -1) for c in (F.col("plain"), _typed(F.col("plain")), _typed(F.col("named"))))
+    forms = F.when(numbers & F.col("named").isNotNull(), F.array(raw, typed, named)).when(numbers, F.array(raw, typed)).when(F.col("named").isNotNull(), F.array(raw, named)).otherwise(F.array(raw))
+    return own.withColumn("forms", forms).drop("plain", "named")
 
-def _window_hashes(tokens: Column, step: int) -> Column:
-    """Hashes of the windows that begin at every ``step``-th token; an empty array for too few tokens."""
-    last = F.floor((F.size(tokens) - WINDOW) / step).cast("int")
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda k: F.xxhash64(F.slice(tokens, k * step + 1, WINDOW)))).otherwise(F.array().cast("array<bigint>"))
 
+def windows(rows: DataFrame) -> DataFrame:
+    """A row for each form and window: ``kind`` (0 for the text's own tokens), ``at``, ``key``; forms stays.
 
-def _paired_hashes(canon: Column, raw: Column, step: int) -> Column:
-    """For each window the hashes of its canonical and of its own tokens, once if they are the same."""
-    hashes = [_let(tokens, lambda t: _window_hashes(t, step)) for tokens in (canon, raw)]
-    return F.zip_with(*hashes, lambda c, r: F.array_distinct(F.array(c, r)))
+    A text of fewer than ``WINDOW`` tokens has one window, all of it, which no longer text has.
+    """
+    counted = rows.withColumn("n_windows", F.greatest(F.size(F.get("forms", F.lit(0))) - (WINDOW - 1), F.lit(1)))
+    each = counted.select("*", F.explode(F.sequence(F.lit(0), F.size("forms") * F.col("n_windows") - 1)).alias("nth"))
+    each = each.select("*", F.floor(F.col("nth") / F.col("n_windows")).cast("int").alias("kind"), (F.col("nth") % F.col("n_windows")).alias("at")).drop("nth")
+    key = lambda form: F.xxhash64(*(F.get(F.get("forms", form), F.col("at") + k) for k in range(WINDOW)))
+    # A window without a value is the same in each form.
+    return each.select("*", key(F.col("kind")).alias("key")).where((F.col("kind") == 0) | (F.col("key") != key(F.lit(0))))
 
 
-def items_of(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """item_id, raw and canon (token arrays) of the items that are long enough."""
-    own = benchmark.select(F.col(f"`{id_col}`").alias("item_id"), F.col(f"`{text_col}`").alias("t")).where("item_id is not null and t is not null")
-    return own.select("item_id", _tokens(F.col("t")).alias("raw"), _tokens(canonical(F.col("t"))).alias("canon")).where((F.size("canon") >= MIN_TOKENS) & (F.size("raw") == F.size("canon")))
+def _cut(form: Column) -> Column:
+    return F.slice(F.get("forms", form), F.col("at") + 1, WINDOW)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_WINDOWS, min_share: float = MIN_SHARE) -> DataFrame:
+def item_windows(benchmark: DataFrame, id_col: str, text_col: str, min_windows: int, min_share: float) -> DataFrame:
+    """The windows that items are looked for by, with their own tokens and their template.
+
+    Templates count where they have a token that is no placeholder and stand once in the item; a table of
+    numbers is thus known by its numbers. ``seed`` marks the rarest windows of an item, so many that a
+    document without any of them can't have enough of the others.
+    """
+    own = benchmark.select(F.col(f"`{id_col}`").alias("item_id"), F.col(f"`{text_col}`").alias("text")).where("item_id is not null and text is not null").distinct()
+    own = with_forms(own.withColumn("form", F.xxhash64("text"))).where(F.get(F.get("forms", F.lit(0)), F.lit(0)) != "")
+    each = windows(own).select(*_ITEM, "n_windows", "kind", F.col("at").alias("w"), "key", _cut(F.lit(0)).alias("own"), _cut(F.col("kind")).alias("template"))
+    once = F.count("*").over(Window.partitionBy(*_ITEM, "kind", "key")) == 1
+    word = F.exists("template", lambda x: ~x.rlike(_SLOT))
+    each = each.withColumn("once", once).where((F.col("kind") == 0) | (word & F.col("once") & (F.col("n_windows") > MIN_TOKENS - WINDOW))).drop("once")
+    each = common.cut(each)
+    spread = each.select(*_ITEM, "key").distinct().groupBy("key").agg(F.count("*").alias("n_items"))
+    rare = each.join(spread, "key").groupBy(*_ITEM, "n_windows", "w").agg(F.max("n_items").alias("n_items"))
+    need = F.least(F.lit(min_windows), F.ceil(F.col("n_windows") * min_share - 1e-9))
+    rank = F.row_number().over(Window.partitionBy(*_ITEM).orderBy("n_items", "w"))
+    seeds = rare.select(*_ITEM, "w", (rank <= F.col("n_windows") - need + 1).alias("seed"))
+    return common.cut(each.join(seeds, [*_ITEM, "w"]))
+
+
+def found_rows(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, min_windows: int, min_share: float) -> DataFrame:
+    """doc_id, s1 and s2 (hashes of the text), item_id, n_windows, item_windows, n_slots: one row per text and item found in it."""
+    items = item_windows(benchmark, id_col, text_col, min_windows, min_share)
+    keys = items.select("key").distinct()
+    if keys.count() <= BROADCAST_WINDOWS:
+        keys = F.broadcast(keys)
+    texts = common.own_columns(docs, "doc_id", "text").where("text is not null").select("doc_id", *text_hashes(F.col("text")), "text")
+    hits = windows(with_forms(texts)).join(keys, "key", "left_semi").select(*_DOC, "key", "kind", "at", _cut(F.lit(0)).alias("tokens"))
+    # The text's own tokens need no place.
+    value = lambda c: F.when(F.col("kind") > 0, F.col(c)).alias(c)
+    hits = common.written(hits.select(*_DOC, "key", (F.col("kind") > 0).alias("typed"), value("at"), value("tokens")).distinct(), "windows")
+
+    same_doc = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _DOC]
+    wanted = items.select(*_ITEM, "n_windows", "w", F.col("key").alias("_key"), (F.col("kind") > 0).alias("_typed"), "own", "template", "seed")
+    matched = (F.col("key") == F.col("_key")) & (F.col("typed") == F.col("_typed"))
+    columns = [*_DOC, *_ITEM, "n_windows", "w", "typed", "at", "tokens", "own", "template"]
+    first = common.written(hits.join(wanted.where("seed"), matched).select(*columns), "seeds")
+    likely = first.select(*(F.col(c).alias(f"_{c}") for c in _DOC), *_ITEM).distinct()
+    others = likely.join(wanted.where("not seed"), _ITEM)
+    agreed = first.unionByName(hits.join(others, [matched, *same_doc]).select(*columns))
+
+    slots = F.filter(F.arrays_zip("own", "tokens", "template"), lambda x: x["template"].rlike(_SLOT))
+    place = [*_DOC, *_ITEM, "shift"]
+    typed = agreed.where("typed").select(*_DOC, *_ITEM, "n_windows", "w", (F.col("at") - F.col("w")).alias("shift"), F.explode(slots).alias("slot"))
+    typed = typed.select(*place, "n_windows", "w", F.col("slot.own").alias("own"), F.col("slot.tokens").alias("other")).distinct().repartition(*place)
+    over = Window.partitionBy(*place, "own")
+    typed = typed.withColumn("one", F.min("other").over(over) == F.max("other").over(over)).withColumn("fits", F.bool_and("one").over(Window.partitionBy(*place, "w"))).where("fits")
+    typed = typed.withColumn("n_slots", F.size(F.collect_set("own").over(Window.partitionBy(*place))))
+    both = agreed.where("not typed").select(*_DOC, *_ITEM, "n_windows", "w", F.lit(0).alias("n_slots")).unionByName(typed.select(*_DOC, *_ITEM, "n_windows", "w", "n_slots"))
+    each = both.groupBy(*_DOC, *_ITEM, "n_windows", "w").agg(F.max("n_slots").alias("n_slots"))
+    total = each.groupBy(*_DOC, *_ITEM, F.col("n_windows").cast("long").alias("item_windows")).agg(F.count("*").alias("n_windows"), F.max("n_slots").cast("long").alias("n_slots"))
+    return total.where((F.col("n_windows") >= min_windows) | (F.col("n_windows") / F.col("item_windows") >= min_share)).drop("form")
+
+
+def text_hashes(text: Column) -> tuple[Column, Column]:
+    """s1 and s2, which together with the id tell texts apart."""
+    return F.xxhash64(text).alias("s1"), F.xxhash64(F.lit(1), text).alias("s2")
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_WINDOWS, min_share: float = MIN_SHARE, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, n_windows, item_windows, share, n_slots.
 
     n_windows counts the item's windows that agree with the document at one place or another, item_windows
-    all of the item's; n_slots is the most slots that a place fills with placeholders of both sides. Null texts and items hold nothing;
-    rows of null doc_id are searched too, as one document. Rows of one doc_id count as one document; of
-    repeated item rows one is enough. An empty table on either side gives an empty result. Other columns are
-    ignored.
+    all of the item's; n_slots is the most of the item's values that have a stand-in at one place. An item of
+    fewer than ``MIN_TOKENS`` tokens is found by its own words and numbers only, one of fewer than ``WINDOW``
+    only if it is the whole document. Null and empty texts and items hold nothing. Each row of ``docs`` is
+    searched by itself, rows of null doc_id too; of the rows of one doc_id, and of the texts of one item_id,
+    the pair of the highest share counts (then of the most windows). Repeated rows count once. An empty table
+    on either side gives an empty result. Other columns are ignored. Texts of any length are searched whole.
     """
-    items = common.cut(items_of(benchmark).dropDuplicates(["item_id", "raw", "canon"]))
-    windows = items.select("item_id", F.size("canon").alias("size"), F.posexplode(_paired_hashes(F.col("canon"), F.col("raw"), 1)).alias("at", "hs")).select("item_id", "size", "at", F.explode("hs").alias("h"))
-    if windows.count() <= BROADCAST_WINDOWS:
-        windows = F.broadcast(windows)
-    texts = common.own_columns(docs, "doc_id", "text").where("text is not null")
-    blocks = texts.select("doc_id", F.posexplode(_paired_hashes(_tokens(canonical(F.col("text"))), _tokens(F.col("text")), WINDOW)).alias("nth", "hs")).select("doc_id", "nth", F.explode("hs").alias("h"))
-    hits = blocks.join(windows, "h").select("doc_id", "item_id", (F.col("nth") * WINDOW - F.col("at")).alias("shift")).distinct()
-    places = hits.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "shift")).alias("places")).withColumnRenamed("doc_id", "_id")
-    held = texts.join(places, F.col("doc_id").eqNullSafe(F.col("_id"))).select("doc_id", "places", _tokens(F.col("text")).alias("raw"), _tokens(canonical(F.col("text"))).alias("canon"))
-    # Only the tokens at a place go on, not the whole text. A place may begin before the text does.
-    spot = held.select("doc_id", "raw", "canon", F.explode("places").alias("place")).select("doc_id", "raw", "canon", F.col("place.item_id").alias("item"), F.col("place.shift").alias("shift"))
-    known = items.select(F.col("item_id"), F.col("raw").alias("item_raw"), F.col("canon").alias("item_canon"))
-    both = spot.join(known, F.col("item") == F.col("item_id"))
-    pairs = F.transform(
-        F.arrays_zip("item_raw", "item_canon"),
-        lambda x, i: F.struct(
-            x["item_raw"].alias("own"),
-            F.get("raw", i + F.col("shift")).alias("other"),
-            F.coalesce(F.get("canon", i + F.col("shift")) == x["item_canon"], F.lit(False)).alias("same"),
-            F.coalesce(F.get("raw", i + F.col("shift")) == x["item_raw"], F.lit(False)).alias("equal"),
-            x["item_canon"].isin("0", "0u", "0n").alias("slot"),
-        ),
-    )
-    slots_of = lambda p: F.array_distinct(F.transform(F.filter(p, lambda x: x["same"] & x["slot"]), lambda x: F.struct(x["own"].alias("own"), x["other"].alias("other"))))
-    fit = lambda x, slots: x["same"] & (~x["slot"] | (F.size(F.filter(slots, lambda s: s["own"] == x["own"])) == 1))
-    typed = lambda x, slots: F.struct(fit(x, slots).alias("typed"), (x["equal"] | fit(x, slots)).alias("fits"))
-    run = lambda p, i, c: F.forall(F.slice(p, i + 1, WINDOW), lambda x: x[c])
-    agree = lambda p: F.filter(F.transform(F.sequence(F.lit(0), F.size(p) - WINDOW), lambda i: F.struct(i.alias("w"), run(p, i, "typed").alias("typed"), run(p, i, "fits").alias("fits"))), lambda x: x["fits"])
-    judged = _let(pairs, lambda p: _let(slots_of(p), lambda slots: F.struct(F.size(slots).alias("n_slots"), _let(F.transform(p, lambda x: typed(x, slots)), agree).alias("agree"))))
-    found = both.select("doc_id", "item_id", (F.size("item_canon") - WINDOW + 1).alias("item_windows"), judged.alias("judged")).select("doc_id", "item_id", "item_windows", "judged.n_slots", F.explode("judged.agree").alias("a"))
-    own_slots = F.max(F.when(F.col("a.typed"), F.col("n_slots")))
-    each = found.groupBy("doc_id", "item_id", "a.w").agg(F.max("item_windows").alias("item_windows"), F.max("n_slots").alias("n_slots"), own_slots.alias("typed_slots"))
-    total = each.groupBy("doc_id", "item_id").agg(F.count("*").alias("n"), F.count("typed_slots").alias("n_typed"), F.max("item_windows").cast("long").alias("item_windows"), F.max("n_slots").cast("long").alias("slots"), F.max("typed_slots").cast("long").alias("typed_slots"))
-    enough = lambda n: (n >= min_windows) | (n / F.col("item_windows") >= min_share)
-    either = lambda a, b: F.when(enough(F.col("n_typed")), F.col(a)).otherwise(F.col(b))
-    out = total.where(enough(F.col("n"))).select("doc_id", "item_id", either("n_typed", "n").alias("n_windows"), "item_windows", either("typed_slots", "slots").alias("n_slots"))
-    return out.select("doc_id", "item_id", "n_windows", "item_windows", (F.col("n_windows") / F.col("item_windows")).alias("share"), "n_slots")
+    rows = found_rows(docs, benchmark, id_col, text_col, min_windows, min_share)
+    best = rows.groupBy("doc_id", "item_id").agg(F.max(F.struct((F.col("n_windows") / F.col("item_windows")).alias("share"), "n_windows", "item_windows", "n_slots")).alias("best"))
+    return best.select("doc_id", "item_id", "best.n_windows", "best.item_windows", "best.share", "best.n_slots")
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all their columns, in which no item is found."""
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("__loom_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__loom_bad")), "left_anti")
+    """The rows of ``docs``, with all their columns, in which no item is found; rows of one id are judged one by one."""
+    bad = found_rows(docs, benchmark, "item_id", "text", MIN_WINDOWS, MIN_SHARE).select(*(F.col(c).alias(f"__loom_{c}") for c in _DOC)).distinct()
+    s1, s2 = text_hashes(docs["text"])
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("__loom_doc_id")) & (s1 == F.col("__loom_s1")) & (s2 == F.col("__loom_s2")), "left_anti")

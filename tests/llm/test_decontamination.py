@@ -21,6 +21,7 @@ def test_other_values_in_the_same_slots_are_found(frame, items):
     got = found(docs, items([(10, QUESTION)]))
     assert {(1, 10), (2, 10)} <= got and (4, 10) not in got
     assert (3, 10) not in got  # one value of the item stands against two
+    assert (5, 10) in got
 
 
 def test_copies_in_other_case_or_lines_are_found(frame, items):
@@ -34,12 +35,39 @@ def test_copies_in_other_case_or_lines_are_found(frame, items):
     assert found(frame([(1, QUESTION)]), items([(10, QUESTION.upper())])) == {(1, 10)}
 
 
-def test_canonical_keeps_the_number_of_tokens(spark, frame):
-    from pyspark.sql import functions as F
+def test_forms_have_equally_many_tokens(spark, frame):
+    texts = ["5km and 5 km, 3.14 or 1,000 Euro", "So said Anna. Then Bob left", "Straße Élan ist naïve 12min", "12", "  ", "²³ 4ever x9", "of a\ue000b and Anna 5"]
+    got = T.with_forms(frame(list(enumerate(texts)))).select("doc_id", "forms").collect()
+    assert all(len({len(f) for f in r.forms}) == 1 for r in got)
+    forms = {r.doc_id: [" ".join(f) for f in r.forms] for r in got}
+    assert forms[0] == ["5km and 5 km 3 14 or 1 000 euro", "##u and # #u # # or # # euro", "##u and # #u # # or # # \ue000"]
+    assert forms[1] == ["so said anna then bob left", "so said \ue000 then \ue000 left"]
+    assert forms[6][0] == "of a b and anna 5" and forms[6][2] == "of a b and \ue000 #"
 
-    texts = ["5km and 5 km, 3.14 or 1,000 Euro", "So said Anna. Then Bob left", "Straße Élan ist naïve 12min", "12", "  ", "²³ 4ever x9"]
-    got = frame(list(enumerate(texts))).select(F.size(T._tokens(F.col("text"))).alias("a"), F.size(T._tokens(T.canonical(F.col("text")))).alias("b")).collect()
-    assert all(r.a == r.b for r in got)
+
+def test_nine_tokens_are_found_at_every_offset(frame, items, prose):
+    """At least 80 % of the windows, wherever the passage stands."""
+    words = prose(9, 1).split()
+    rows = [(10 * k + cut, " ".join(prose(20 + k, 100 + k).split() + words[:cut] + prose(20, 300 + k).split())) for k in range(10) for cut in (8, 7)]
+    assert found(frame(rows), items([(1, " ".join(words))])) == {(10 * k + 8, 1) for k in range(10)}
+
+
+def test_short_items_are_found_by_their_own_words(frame, items):
+    benchmark = items([(1, "what is the capital of france today"), (2, "Name 5 rivers"), (3, "12 + 30 = 42, so 42 - 30 = 12")])
+    rows = [(1, "So: What is the capital of France today?"), (2, "what is the capital of Spain today"), (3, "name 5 rivers"), (4, "Please name 5 rivers"), (5, "name 6 rivers"), (6, "sum 12 30 42 so 42 30 12"), (7, "13 30 43 so 43 30 13"), (8, "what is the capital of")]
+    assert found(frame(rows), benchmark) == {(1, 1), (3, 2), (6, 3)}
+
+
+def test_a_text_of_numbers_doesnt_blow_up(frame, items):
+    long = " ".join(str(k % 977) for k in range(20_000))
+    benchmark = items([(1, " ".join(str(k) for k in range(900, 960))), (2, "x 0 " * 30), (3, "ha " * 40)])
+    rows = [(1, long), (2, "x 1 " * 10_000), (3, "ha " * 20_000), (4, " ".join(str(k) for k in range(1000, 1060)))]
+    assert found(frame(rows), benchmark) == {(1, 1), (3, 3)}
+
+
+def test_rows_of_one_id_are_judged_one_by_one(frame, items):
+    rows = [(None, QUESTION), (None, "Nothing of the kind"), (7, QUESTION), (7, "Nothing at all")]
+    assert sorted(r.text for r in T.without_contaminated(frame(rows), items([(1, QUESTION)])).collect()) == ["Nothing at all", "Nothing of the kind"]
 
 
 def test_equals_brute_force_ngrams(frame, items, prose):
