@@ -101,6 +101,11 @@ def own_columns(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{c}`").alias(c) for c in columns))
 
 
+def bounded(stored: DataFrame, rows: int) -> DataFrame:
+    """A stored table marked for broadcast if it has at most ``rows`` rows (counted), or as it is."""
+    return F.broadcast(stored) if stored.count() <= rows else stored
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,26 +1,30 @@
 """Line dedup by a fixed-depth template tree, in DataFrame operations only.
 
 A line's tokens are what single spaces separate; tokens with a digit are variable fields at once (``<*>``). A
-line goes to the leaf of its token count and its first ``DEPTH`` tokens. Within a leaf of several different
-lines, a position whose commonest token has at least half of the leaf's documents is constant, the others
-are variable; lines that agree with the constants in ``SIMILARITY`` of their positions share the leaf's
-template, any other line is a template of its own. A template found in ``MIN_DOCS`` documents or more is
-dropped from all of them but the first.
+line goes to the leaf of its token count and its first ``DEPTH`` tokens. A leaf's different lines are one group at
+first. In a group, a position is constant if all its lines have one token there. A group with ``SIMILARITY`` of
+its positions constant is a template: its other positions are variable. Any other group is split at the position
+whose commonest token is commonest (the first of several): lines with a token there that ``MIN_DOCS`` documents or
+more have make a group for each such token, the rest make one more; and so on with these groups. Groups that can't
+get enough constant positions so are given up: their lines are templates of their own. A template found in
+``MIN_DOCS`` documents or more is dropped from all of them but the first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
-DEPTH, SIMILARITY, MIN_DOCS = 3, 0.8, 10
+DEPTH, SIMILARITY, MIN_DOCS = 2, 0.7, 10
+#: Tables of lines or groups are broadcast up to so many rows (some 100 bytes each), and shuffled beyond it.
+BROADCAST_ROWS = 200_000
 
 
 def masked(text: Column) -> Column:
     """The text with each token that has a digit as ``<*>``."""
-    return F.when(text.rlike("[0-9]"), F.regexp_replace(text, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", "<*>")).otherwise(text)
+    return F.when(text.rlike(r"\p{N}"), F.regexp_replace(text, r"(?<![^ \n])[^ \n\p{N}]*+\p{N}[^ \n]*+", "<*>")).otherwise(text)
 
 
 def _lines(text: Column) -> Column:
@@ -34,8 +38,8 @@ def _leaf(line: Column, depth: int) -> Column:
 
 
 def _key(line: Column) -> Column:
-    """What a line is known by; null for a blank line, which is no line at all."""
-    return F.when(line != "", F.xxhash64(line))
+    """What a line is known by, in 16 bytes; null for a blank line, which is no line at all."""
+    return F.when(line != "", F.unhex(F.md5(line)))
 
 
 def line_table(docs: DataFrame, depth: int) -> DataFrame:
@@ -44,27 +48,51 @@ def line_table(docs: DataFrame, depth: int) -> DataFrame:
     return own.select("doc_id", _leaf(F.col("line"), depth).alias("leaf"), _key(F.col("line")).alias("key")).distinct()
 
 
-def templates(docs: DataFrame, lines: DataFrame, depth: int, similarity: float, min_docs: int) -> DataFrame:
-    """key and leaf of each line that shares its leaf's template, of leaves with enough documents."""
-    counts = lines.groupBy("leaf", "key").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
-    leaves = counts.groupBy("leaf").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).where((F.col("kinds") > 1) & (F.col("total") >= min_docs))
-    chosen = common.cut(counts.join(leaves, "leaf").select(F.col("key").alias("k"), "leaf", "n", "total", "first"))
-    # Each line's text is read from one document alone, so a line that many have stays one row.
+def _texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """group, key, n and tokens of the chosen lines. Each is read from one document, so a line that many have stays one row."""
+    chosen = common.bounded(common.cut(chosen.select(F.col("key").alias("_key"), F.col("leaf").alias("group"), "n", "first")), BROADCAST_ROWS)
     own = common.own_columns(docs, "doc_id", "text").where("text is not null").select("doc_id", F.explode(_lines(F.col("text"))).alias("line")).where("line <> ''").withColumn("key", _key(F.col("line")))
-    texts = own.join(chosen, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("first"))).groupBy("key").agg(F.first("leaf").alias("leaf"), F.first("n").alias("n"), F.first("total").alias("total"), F.min("line").alias("line"))
-    texts = common.cut(texts.select("leaf", "key", "n", "total", F.split("line", " ").alias("tokens")))
-    at = texts.select("leaf", "n", "total", F.posexplode("tokens").alias("at", "token"))
-    common_token = at.groupBy("leaf", "at", "token").agg(F.sum("n").alias("n"), F.first("total").alias("total")).groupBy("leaf", "at").agg(F.max(F.struct("n", "token")).alias("top"), F.first("total").alias("total"))
-    constant = F.when(F.col("top.n") * 2 >= F.col("total"), F.col("top.token"))
-    tree = common.cut(common_token.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("at", constant.alias("token")))).alias("template")))
-    agree = F.size(F.filter(F.zip_with("tokens", F.col("template.token"), lambda a, b: F.coalesce(a == b, F.lit(False))), lambda x: x))
-    return texts.join(tree, "leaf").where(agree >= similarity * F.size("tokens")).select("key", "leaf")
+    found = own.join(chosen, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("first")))
+    return found.groupBy("group", "key").agg(F.first("n").alias("n"), F.min("line").alias("line")).select("group", "key", "n", F.split("line", " ").alias("tokens"))
+
+
+def templates(docs: DataFrame, lines: DataFrame, similarity: float, min_docs: int) -> DataFrame:
+    """key and group of each line of a group that has become a template.
+
+    Each round judges all open groups at once and splits those that go on, so there are as many rounds as the
+    deepest chain of splits; every split leaves groups with one constant position more, or one less to split at.
+    """
+    counts = common.cut(lines.groupBy("leaf", "key").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")))
+    leaves = counts.groupBy("leaf").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).where((F.col("kinds") > 1) & (F.col("total") >= min_docs)).select("leaf")
+    open_lines = common.cut(_texts(docs, counts.join(common.cut(leaves), "leaf")))
+    done = []
+    while True:
+        at = open_lines.select("group", "n", F.posexplode("tokens").alias("at", "token"))
+        tokens = common.cut(at.groupBy("group", "at", "token").agg(F.sum("n").alias("n")))
+        places = tokens.groupBy("group", "at").agg(F.max("n").alias("top"), F.sum("n").alias("total"))
+        splits_at = F.max(F.when((F.col("top") >= min_docs) & (F.col("top") < F.col("total")), F.struct("top", (-F.col("at")).alias("at"))))
+        groups = places.groupBy("group").agg(F.count("*").alias("size"), F.max("total").alias("total"), F.count_if(F.col("top") == F.col("total")).alias("constant"), F.count_if(F.col("top") >= min_docs).alias("possible"), splits_at.alias("split"))
+        enough = lambda c: F.col(c) >= F.lit(similarity) * F.col("size")
+        judged = groups.where((F.col("total") >= min_docs) & enough("possible")).select(F.col("group").alias("_group"), enough("constant").alias("done"), (-F.col("split.at")).alias("split"))
+        judged = common.bounded(common.cut(judged.where("done or split is not null")), BROADCAST_ROWS)
+        here = common.cut(open_lines.join(judged, F.col("group") == F.col("_group")).select("group", "key", "n", "tokens", "done", "split"))
+        done.append(here.where("done").select("key", "group"))
+        going = here.where("not done").withColumn("token", F.get("tokens", F.col("split")))
+        frequent = common.bounded(common.cut(tokens.where(F.col("n") >= min_docs).join(judged.where("not done"), (F.col("group") == F.col("_group")) & (F.col("at") == F.col("split"))).select("_group", F.col("token").alias("_token"))), BROADCAST_ROWS)
+        into = going.join(frequent, (F.col("group") == F.col("_group")) & (F.col("token") == F.col("_token")), "left")
+        open_lines = common.cut(into.select(F.xxhash64("group", "split", "_token").alias("group"), "key", "n", "tokens"))
+        if open_lines.isEmpty():
+            break
+    out = done[0]
+    for more in done[1:]:
+        out = out.union(more)
+    return out
 
 
 def recurring_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMILARITY, min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id and key of each line that is to be dropped."""
     lines = common.cut(line_table(docs, depth))
-    shared = templates(docs, lines, depth, similarity, min_docs).select(F.col("key").alias("k"), F.col("leaf").alias("shared"))
+    shared = common.cut(templates(docs, lines, similarity, min_docs).select(F.col("key").alias("k"), F.unhex(F.lpad(F.hex("group"), 16, "0")).alias("shared")))
     placed = lines.join(shared, F.col("key") == F.col("k"), "left").select("doc_id", "key", F.coalesce("shared", "key").alias("template"))
     placed = common.cut(placed)
     # Stored, so that both sides of the join below come straight from an exchange, whose hot keys can be split.
@@ -77,9 +105,9 @@ def drop_recurring_lines(docs: DataFrame, depth: int = DEPTH, similarity: float
 
     n_lines counts the text's lines that aren't blank, n_dropped those dropped. Blank lines stay, but for a
     text that loses all its other lines, which becomes empty. A null text stays null with no lines. Rows of
-    one id (or of none) count as one document; the first is that of the smallest id. Where two tokens of
-    a position are equally common, the greater one in byte order is its constant. Columns of ``docs``
-    called n_lines or n_dropped give way.
+    one id (or of none) count as one document; the first is that of the smallest id (none is the smallest).
+    Where positions tie, the first is split at. Columns of ``docs`` called n_lines or n_dropped give way. An
+    empty table gives an empty one. Texts and lines of any length are handled whole.
     """
     gone = recurring_lines(docs, depth, similarity, min_docs).groupBy("doc_id").agg(F.collect_set("key").alias("__loom_gone")).withColumnRenamed("doc_id", "__loom_id")
     rest = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped", "__loom_id", "__loom_gone")))

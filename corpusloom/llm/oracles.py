@@ -19,18 +19,24 @@ f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words, base_failed, NOT base_failed AND covered_words::DOUBLE / greatest(n_words, 1) <= {repetition_rules.MAX_FRACTION} AND NOT too_long AS kept FROM f
 """
 
-#: The template tree with the lines' own texts as keys.
+#: The template tree with the lines' own texts as keys, and one recursive step for each round of splits.
 LINE_TEMPLATES = f"""
-WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL),
-k AS (SELECT doc_id, pos, line, regexp_replace(array_to_string(list_transform(string_split(line, ' '), lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END), ' '), '^ +| +$', '', 'g') AS key FROM l),
+WITH RECURSIVE l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL),
+k AS (SELECT doc_id, pos, line, regexp_replace(array_to_string(list_transform(string_split(line, ' '), lambda x: CASE WHEN regexp_matches(x, '\\p{{N}}') THEN '<*>' ELSE x END), ' '), '^ +| +$', '', 'g') AS key FROM l),
 d AS (SELECT DISTINCT doc_id, key, len(string_split(key, ' ')) AS size, array_to_string(string_split(key, ' ')[1:{line_templates.DEPTH}], ' ') AS head FROM k WHERE key <> ''),
-c AS (SELECT size, head, key, count(*) AS docs FROM d GROUP BY ALL),
-leaf AS (SELECT size, head, sum(docs) AS total FROM c GROUP BY ALL HAVING count(*) > 1 AND sum(docs) >= {line_templates.MIN_DOCS}),
-t AS (SELECT c.size, c.head, c.key, docs, total, unnest(string_split(c.key, ' ')) AS token, generate_subscripts(string_split(c.key, ' '), 1) AS pos FROM c JOIN leaf ON c.size = leaf.size AND c.head = leaf.head),
-s AS (SELECT size, head, pos, token, sum(docs) AS n, any_value(total) AS total FROM t GROUP BY size, head, pos, token),
-fixed AS (SELECT size, head, pos, CASE WHEN 2 * n >= total THEN token END AS token FROM (SELECT *, row_number() OVER (PARTITION BY size, head, pos ORDER BY n DESC, token DESC) AS r FROM s) WHERE r = 1),
-member AS (SELECT t.key, any_value(t.size) AS size FROM t JOIN fixed ON t.size = fixed.size AND t.head = fixed.head AND t.pos = fixed.pos GROUP BY t.key HAVING count(*) FILTER (t.token = fixed.token) >= {line_templates.SIMILARITY}::DOUBLE * any_value(t.size)),
-placed AS (SELECT d.doc_id, d.key, CASE WHEN m.key IS NULL THEN 'line ' || d.key ELSE 'leaf ' || d.size || ' ' || d.head END AS template FROM d LEFT JOIN member m ON m.key = d.key),
+c AS (SELECT size || ' ' || head AS leaf, key, count(*) AS docs FROM d GROUP BY ALL),
+g AS (
+  SELECT leaf AS gid, key, docs, string_split(key, ' ') AS tokens, false AS done FROM c
+  UNION ALL
+  SELECT CASE WHEN j.done THEN o.gid WHEN f.token IS NULL THEN o.gid || chr(10) || j.p || ' other' ELSE o.gid || chr(10) || j.p || ' is ' || f.token END, o.key, o.docs, o.tokens, j.done
+  FROM g o
+  JOIN (SELECT gid, count(*) FILTER (top = total) >= {line_templates.SIMILARITY}::DOUBLE * count(*) AS done, arg_min(p, (-top, p)) FILTER (top >= {line_templates.MIN_DOCS} AND top < total) AS p
+        FROM (SELECT gid, p, max(n) AS top, sum(n) AS total FROM (SELECT gid, p, token, sum(docs) AS n FROM (SELECT gid, docs, unnest(range(1, len(tokens) + 1)) AS p, unnest(tokens) AS token FROM g WHERE NOT done) GROUP BY ALL) GROUP BY ALL)
+        GROUP BY gid HAVING max(total) >= {line_templates.MIN_DOCS} AND count(*) FILTER (top >= {line_templates.MIN_DOCS}) >= {line_templates.SIMILARITY}::DOUBLE * count(*)) j ON o.gid = j.gid AND NOT o.done AND (j.done OR j.p IS NOT NULL)
+  LEFT JOIN (SELECT gid, p, token FROM (SELECT gid, docs, unnest(range(1, len(tokens) + 1)) AS p, unnest(tokens) AS token FROM g WHERE NOT done) GROUP BY ALL HAVING sum(docs) >= {line_templates.MIN_DOCS}) f ON f.gid = o.gid AND f.p = j.p AND f.token = o.tokens[j.p]
+),
+member AS (SELECT key, gid FROM g WHERE done),
+placed AS (SELECT d.doc_id, d.key, CASE WHEN m.key IS NULL THEN 'line ' || d.key ELSE 'group ' || m.gid END AS template FROM d LEFT JOIN member m ON m.key = d.key),
 found AS (SELECT template, min(doc_id) AS keeper FROM placed GROUP BY template HAVING count(DISTINCT doc_id) >= {line_templates.MIN_DOCS}),
 gone AS (SELECT doc_id, key FROM placed JOIN found ON placed.template = found.template WHERE doc_id <> keeper),
 marked AS (SELECT k.*, g.key IS NOT NULL AS dropped FROM k LEFT JOIN gone g ON g.doc_id = k.doc_id AND g.key = k.key)

@@ -24,6 +24,37 @@ def test_recurring_templates_go_but_for_the_first(frame, prose):
         assert (got[d].n_lines, got[d].n_dropped) == (len(t.split("\n")), len(t.split("\n")) - len(want))
 
 
+def families(rng):
+    """Lines of templates with variable words, and how many of each go: all but the first."""
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    out = []
+    for k, (form, count) in enumerate(
+        [
+            ("Posted by {} today", 14),
+            ("Mail is sent by {} to our {}", 14),  # 5 of 7 constant
+            ("It is sent by {} to our friend {} in may", 14),
+            ("It is sent with love {} of the {} great old company", 14),  # the same leaf as the one before
+            ("It is here for {} of {} or {} of {} then", 14),  # too few constant
+            ("It is a rare line about {} and the old house", 9),  # too few documents
+            ("Half of it says {} {} {} {}", 14),
+        ]
+    ):
+        rows = [form.format(*(word() for _ in range(form.count("{}")))) for _ in range(count)]
+        out += [(100 * k + i, x, i > 0 and k < 4) for i, x in enumerate(rows)]
+    # unrelated lines of the leaf of "It is ..." (10 tokens), more than any family has
+    out += [(2000 + i, "It is " + " ".join(word() for _ in range(8)), False) for i in range(40)]
+    # a variable field with a common value stays one template
+    out += [(3000 + i, f"Our reader {'anna' if i < 11 else word()} sent this in", i > 0) for i in range(16)]
+    return out
+
+
+def test_a_leaf_may_hold_several_templates(frame):
+    rows = families(random.Random(3))
+    got = {r.doc_id: r for r in line_templates.drop_recurring_lines(frame([(d, x) for d, x, _ in rows])).collect()}
+    for d, line, gone in rows:
+        assert (got[d].n_dropped, got[d].text) == ((1, "") if gone else (0, line)), (d, line)
+
+
 def test_fewer_documents_than_the_bound_stay(frame):
     rows = [(i, f"Same line here\nown line {chr(97 + i) * 5}") for i in range(line_templates.MIN_DOCS - 1)]
     assert all(r.n_dropped == 0 for r in line_templates.drop_recurring_lines(frame(rows)).collect())

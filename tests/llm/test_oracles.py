@@ -1,4 +1,5 @@
 import os
+import random
 
 import duckdb
 import pytest
@@ -44,3 +45,17 @@ def test_decontamination_sql_with_names_numbers_and_units(spark, tmp_path, prose
     got = con.execute(queries.oracle_sql()["op1_template_decontam"])
     want = rows([d[0] for d in got.description], got.fetchall())
     assert rows(df.columns, df.collect()) == want and len(want) >= 8
+
+
+def test_line_template_sql_with_families_of_lines(spark, tmp_path, prose):
+    from test_line_and_substring import families
+
+    lines = families(random.Random(5))
+    docs = [(d, f"{prose(5, d)}\n\n {x} \n{y}") for (d, x, _), (_, y, _) in zip(lines, reversed(lines), strict=True)] + [(-1, None), (-2, ""), (-3, "\n \n")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    df = queries.queries()["op6_line_templates"](spark, str(tmp_path))
+    got = con.execute(queries.oracle_sql()["op6_line_templates"])
+    want = rows([d[0] for d in got.description], got.fetchall())
+    assert rows(df.columns, df.collect()) == want and sum(int(r[1]) for r in want) > 50
