@@ -2,9 +2,10 @@
 
 A fingerprint of 64 bits is mapped to the bit counts of its 2-bit segments, a point with 32 coordinates. The
 Manhattan distance of two points is at most the Hamming distance of the fingerprints. The coordinates fall
-into ``SLABS`` groups; points within Manhattan distance ``d`` differ in at most ``d`` of the groups, so they
-share a grid cell in some choice of ``SLABS - d`` groups. The range join is thus an equi-join on (choice,
-cell); what it finds passes the Manhattan bound and then the exact Hamming test.
+into slabs; points within Manhattan distance ``d`` differ in at most ``d`` of the slabs, so they share a grid
+cell in some choice of all but ``d`` slabs. The range join is thus an equi-join on (choice, cell); what it finds
+passes the Manhattan bound and then the exact Hamming test. More fingerprints get more slabs, so that cells stay
+small; every number of slabs gives the same links.
 
 Pairs are found between distinct fingerprints only, so copies cost nothing. Cells that hold many near
 fingerprints don't give all pairs: first each is linked to the least of its cell where that is a true link,
@@ -14,6 +15,7 @@ and only pairs of different components are joined after that.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +25,9 @@ from pyspark.sql import functions as F
 
 from . import common
 
-SHINGLE, SEED, DISTANCE, SLABS = 4, 42, 4, 7
+SHINGLE, SEED, DISTANCE = 4, 42, 4
+#: Crowded cells are broadcast up to this number (16 bytes each), and shuffled beyond it.
+BROADCAST_CELLS = 500_000
 
 
 def fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
@@ -65,12 +69,23 @@ def _bit_sums(h: np.ndarray) -> np.ndarray:
 
 def _fingerprint_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in common.chunks(it, 1):
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(fingerprints(batch.column(1)).view(np.int64))], names=["doc_id", "fp"])
+        prints = pa.array(fingerprints(batch.column(1)).view(np.int64))
+        yield pa.RecordBatch.from_arrays([batch.column(0), prints, *batch.columns[2:]], names=["doc_id", "fp", *batch.schema.names[2:]])
 
 
-def with_fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of each row; a null or empty text has fp 0."""
-    return common.own_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).transform(common.map_arrow, _fingerprint_rows, "doc_id long, fp long")
+def with_fingerprints(docs: DataFrame, *hashes: Column) -> DataFrame:
+    """doc_id, fp (the fingerprint as a signed long) and ``hashes`` (longs s1, s2 ...) of each row; a null or empty text has fp 0."""
+    own = docs.select(F.col("doc_id").cast("long"), "text", *(h.alias(f"s{k}") for k, h in enumerate(hashes, 1)))
+    return own.transform(common.map_arrow, _fingerprint_rows, "doc_id long, fp long" + "".join(f", s{k} long" for k in range(1, len(hashes) + 1)))
+
+
+def slabs_for(n: int, distance: int) -> int:
+    """The number of slabs for n fingerprints: least rows of the grid and of pairs in one cell.
+
+    A segment's count has 1.5 bits of information, so a cell of ``s - distance`` of s slabs has 48 / s bits for each.
+    """
+    rows = lambda s: math.comb(s, distance) * (n + n * n / 2 ** (48 * (s - distance) / s))
+    return min(range(distance + 1, distance + 13), key=rows)
 
 
 def _masks(slabs: int) -> list[int]:
@@ -129,34 +144,66 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.join(linked, "fp", "left_anti").select("fp", F.col("fp").alias("root")).union(roots)
 
 
-def link(fps: DataFrame, distance: int = DISTANCE, slabs: int = SLABS) -> DataFrame:
+def link(fps: DataFrame, distance: int = DISTANCE, slabs: int | None = None) -> DataFrame:
     """fp and root for the distinct fingerprints ``fps``: equal roots if and only if linked by a chain of true links."""
+    fps = common.cut(fps)
+    slabs = slabs or slabs_for(fps.count(), distance)
     grid = cells(fps, distance, slabs)
+    # Only cells of several points matter from here on.
     least = grid.groupBy("cell").agg(F.min("fp").alias("hub"), F.count("*").alias("n")).where("n > 1").select("cell", "hub")
+    least = common.bounded(common.cut(least), BROADCAST_CELLS)
     stars = grid.join(least, "cell").where((F.col("fp") != F.col("hub")) & _near(F.col("fp"), F.col("hub"), distance)).select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
     rough = common.cut(components(fps, stars))
-    points = cells(rough, distance, slabs)
+    points = cells(rough, distance, slabs).join(least.select("cell"), "cell", "left_semi")
+    mixed = points.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("cell")
+    mixed = common.bounded(common.cut(mixed), BROADCAST_CELLS)
+    points = common.cut(points.join(mixed, "cell", "left_semi"))
     left = points.select("cell", F.col("fp").alias("a"), F.col("root").alias("ra"))
     right = points.select(F.col("cell").alias("own_cell"), F.col("fp").alias("b"), F.col("root").alias("rb"))
     # One link between two rough components is as good as all of them.
     near = left.join(right, (F.col("cell") == F.col("own_cell")) & (F.col("ra") < F.col("rb")) & _near(F.col("a"), F.col("b"), distance))
-    more = near.select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
+    more = common.cut(near.select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
+    if more.isEmpty():
+        return rough
     roots = rough.select(F.col("root").alias("fp")).distinct()
-    final = components(roots, more).withColumnsRenamed({"fp": "r", "root": "top"})
-    return rough.join(final, rough["root"] == final["r"]).select(rough["fp"], F.col("top").alias("root"))
+    # Stored, like all that is joined on a root, so that a large component's rows can be split.
+    final = common.cut(components(roots, more).withColumnsRenamed({"fp": "r", "root": "top"}))
+    return common.cut(rough.join(final, rough["root"] == final["r"]).select(rough["fp"], F.col("top").alias("root")))
 
 
-def near_duplicates(docs: DataFrame, distance: int = DISTANCE, slabs: int = SLABS) -> DataFrame:
+def near_duplicates(docs: DataFrame, distance: int = DISTANCE, slabs: int | None = None) -> DataFrame:
     """One row per input row: doc_id, fingerprint (16 hex digits), component_id.
 
     component_id is the smallest doc_id that a chain of links (at most ``distance`` differing bits) reaches,
     itself included; it is null only in a component all of whose ids are null. Null and empty texts have
-    fingerprint zero and link like any other. Repeated rows give repeated rows, an empty table an empty
-    one; other columns are ignored.
+    fingerprint zero and link like any other. Rows of one doc_id with different texts link by their texts only.
+    Repeated rows give repeated rows, an empty table an empty one; other columns are ignored. Texts of any
+    length are handled whole.
     """
     prints = common.cut(with_fingerprints(docs))
-    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    joined = link(least.select("fp"), distance, slabs).join(least, "fp")
-    top = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = joined.select("fp", "root").join(top, "root").select(F.col("fp").alias("own"), "component_id")
+    least = common.cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    joined = common.cut(link(least.select("fp"), distance, slabs).join(least, "fp"))
+    top = common.cut(joined.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("component_id")))
+    of_fp = common.cut(joined.join(top, F.col("root") == F.col("r")).select(F.col("fp").alias("own"), "component_id"))
     return prints.join(of_fp, F.col("fp") == F.col("own")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """Of each component one row of ``docs``, with all its columns: that of the smallest doc_id (none is the greatest).
+
+    Among different texts of that id the one with the least fingerprint stays, then that of the least hash; of
+    rows with the same id and text, any one. Rows of one id in different components all have their own say.
+    """
+    s1, s2 = F.xxhash64("text"), F.xxhash64(F.lit(1), F.col("text"))
+    prints = common.cut(with_fingerprints(docs, s1, s2).groupBy("doc_id", "fp", "s1", "s2").agg(F.count("*").alias("n")))
+    roots = common.cut(link(prints.select("fp").distinct(), distance).withColumnRenamed("fp", "own"))
+    placed = prints.join(roots, F.col("fp") == F.col("own"))
+    first = placed.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "fp", "s1", "s2", "n")).alias("first"))
+    keepers = common.cut(first.select(*(F.col(f"first.{c}").alias(f"__loom_{c}") for c in ("doc_id", "s1", "s2", "n"))))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__loom_doc_id")) & (s1 == F.col("__loom_s1")) & (s2 == F.col("__loom_s2"))
+    kept = docs.join(keepers.where("__loom_n = 1"), same, "left_semi")
+    repeated = keepers.where("__loom_n > 1")
+    if repeated.isEmpty():
+        return kept
+    once = docs.join(repeated, same).dropDuplicates(["__loom_doc_id", "__loom_s1", "__loom_s2"]).select(*(docs[f"`{c}`"] for c in docs.columns))
+    return kept.union(once)

@@ -51,7 +51,7 @@ def test_near_duplicates_edges(edges, empty):
     assert S.near_duplicates(empty).collect() == []
 
 
-def test_links_equal_brute_force(spark):
+def test_links_equal_brute_force(spark, monkeypatch):
     """Clusters, chains and a crowded cell of near fingerprints."""
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**63, 30, dtype=np.int64)
@@ -68,8 +68,14 @@ def test_links_equal_brute_force(spark):
             at ^= 1 << bit
         fps.add(at)
     fps = sorted(fps)
-    got = {r.fp: r.root for r in S.link(spark.createDataFrame([(f,) for f in fps], "fp long")).collect()}
     want = brute_components([(i, f & (2**64 - 1)) for i, f in enumerate(fps)])
+    for slabs, cells in ((None, S.BROADCAST_CELLS), (8, 0)):
+        monkeypatch.setattr(S, "BROADCAST_CELLS", cells)
+        check(fps, want, S.link(spark.createDataFrame([(f,) for f in fps], "fp long"), slabs=slabs))
+
+
+def check(fps, want, linked):
+    got = {r.fp: r.root for r in linked.collect()}
     assert len(got) == len(fps)
     groups, same = {}, {}
     for i, f in enumerate(fps):
@@ -78,6 +84,20 @@ def test_links_equal_brute_force(spark):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, same.values()))
 
 
+def test_slabs_follow_the_number_of_fingerprints():
+    picked = [S.slabs_for(10**k, S.DISTANCE) for k in range(12)]
+    assert picked == sorted(picked) and picked[0] == 5 and picked[5] == 7 and picked[9] > 9
+
+
+def test_one_of_each_component_stays(frame, empty):
+    a, b = " ".join(f"word{i}" for i in range(80)), " ".join(f"other{i * i}" for i in range(80))
+    rows = [(3, a), (1, a), (1, b), (1, b), (2, b), (None, a), (None, "by itself"), (5, None), (6, "")]
+    got = S.without_near_duplicates(frame(rows))
+    assert got.columns == frame(rows).columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(1, a), (1, b), (None, "by itself"), (5, None)], key=str)
+    assert S.without_near_duplicates(empty).collect() == []
+
+
 def test_the_bound_is_a_lower_bound(spark):
     from pyspark.sql import functions as F
 
