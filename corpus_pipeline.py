@@ -16,7 +16,8 @@ from corpusloom.llm import bpe_codec, common, language_id, line_templates, simha
 #: Least posterior share of the language that a document is kept with.
 MIN_LANGUAGE_SCORE = 0.5
 
-#: Not expressible in SQL (fitted language model, SimHash, BPE); the tests compare each stage with brute force.
+#: Not expressible in SQL (fitted language model, SimHash, BPE); the tests plant what each stage must drop or keep,
+#: and compare each operator with brute force or its library.
 ORACLE_SQL = None
 
 
@@ -36,19 +37,18 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def drop_template_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops recurring lines (operator 6), and documents of which nothing else is left; n_chars follows the text."""
-    found = line_templates.drop_recurring_lines(docs).where((F.col("n_dropped") == 0) | (F.col("text") != ""))
-    n_chars = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
-    return found.withColumn("n_chars", n_chars).select(*docs.columns)
+    # All but id and text travels in one column, so that nothing can clash with the operator's figures.
+    rows = docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    found = line_templates.drop_recurring_lines(rows).where((F.col("n_dropped") == 0) | (F.col("text") != ""))
+    changed = F.col("n_dropped") > 0
+    of_row = {c: F.col(f"row.`{c}`") for c in docs.columns}
+    n_chars = F.when(changed, F.length("text")).otherwise(of_row["n_chars"]).cast("long")
+    return found.select(*((F.col("text") if c == "text" else n_chars if c == "n_chars" else x).alias(c) for c, x in of_row.items()))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (operator 3), the document of the smallest id stays, once.
-
-    Rows without an id can't be told apart and stay.
-    """
-    keepers = simhash_dedup.near_duplicates(docs.where("doc_id is not null")).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(keepers, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """Of each group of near-duplicates (operator 3), the document of the smallest id stays, once; texts tell rows of one id apart."""
+    return simhash_dedup.without_near_duplicates(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
