@@ -38,6 +38,22 @@ def test_stages_take_effect_and_keep_clean_documents(spark, frame, prose, sf_dir
     assert {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"} == set(docs.columns)
 
 
+def test_stages_keep_texts_of_one_id_and_source_columns(spark, frame, prose, sf_dir):
+    """What a plain loop over the rows keeps, with the columns' own values."""
+    from pyspark.sql import functions as F
+
+    words = "the man and the woman walk with their dog to the river {}"
+    rows = [(1, words.format(prose(40, 1)), "en", "s", 1), (1, words.format(prose(40, 2)), "en", "s", 1), (None, words.format(prose(40, 3)), "en", "s", 1)]
+    rows += [(10 + k, f"{words.format(prose(40, 10 + k))}\nAll rights reserved here", "en", "s", 1) for k in range(12)]
+    docs = frame(rows).withColumn("n_lines", F.lit(-5))
+    text = lambda t, d: t.split("\n")[0] if d and d > 10 else t
+    for _, stage in C.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
+    got = docs.select("doc_id", "text", "n_dropped", "n_lines", "score", "n_chars").collect()
+    want = [(d, text(t, d), -1, -5, -1, len(text(t, d)) if text(t, d) != t else 1) for d, t, *_ in rows]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
 @pytest.mark.parametrize("stage", [s for _, s in C.STAGES])
 def test_stages_take_edges(spark, edges, empty, sf_dir, stage):
     assert stage(spark, empty, sf_dir).collect() == []
