@@ -15,7 +15,9 @@ import json
 import os
 import uuid
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -166,22 +168,44 @@ class Shard:
         """Ids ``first`` to ``last``, counted within the shard."""
         return np.frombuffer(self.file.read_at((last - first) * self.dtype.itemsize, first * self.dtype.itemsize), self.dtype).astype("<u4")
 
-    def get(self, key: int) -> list[np.ndarray]:
-        """The ids of each document with this key (several if rows were repeated), or an empty list."""
+    def index(self) -> tuple[PerfectHash, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The hash, fingerprints and first documents by number, offsets and keys by document; read once."""
         if self._index is None:
             levels = [self.section(f"level{i}", "u1") for i in range(self.foot["levels"])]
             self._index = PerfectHash(levels, self.section("rest", "<i8")), self.section("prints", "<u4"), self.section("ordinals", "<u4"), self.section("offsets", "<u8"), self.section("keys", "<i8")
-        index, prints, ordinals, offsets, keys = self._index
-        asked = np.array([key], np.int64)
-        number = int(index.find(asked)[0]) if len(prints) else -1
-        if number < 0 or prints[number] != fingerprint(asked)[0]:
-            return []
-        doc, out = int(ordinals[number]), []
-        while doc < self.foot["docs"] and keys[doc - self.foot["missing"]] == key:
+        return self._index
+
+    def first_of(self, keys: np.ndarray) -> np.ndarray:
+        """The first document of each key, by its number and fingerprint; -1 for a key that isn't here.
+
+        A key that isn't here passes for another with a chance of 2^-32; ``get`` compares the stored key, too.
+        """
+        index, prints, ordinals, _, _ = self.index()
+        number = index.find(keys)
+        known = np.flatnonzero(number >= 0)
+        known = known[prints[number[known]] == fingerprint(keys[known])]
+        out = np.full(len(keys), -1, np.int64)
+        out[known] = ordinals[number[known]]
+        return out
+
+    def get(self, key: int) -> list[np.ndarray]:
+        """The ids of each document with this key (several if rows were repeated), or an empty list."""
+        doc, out = int(self.first_of(np.array([key], np.int64))[0]), []
+        _, _, _, offsets, keys = self.index()
+        while 0 <= doc < self.foot["docs"] and keys[doc - self.foot["missing"]] == key:
             out.append(self.slice(int(offsets[doc]), int(offsets[doc + 1])))
             doc += 1
         return out
 
+    def places(self) -> np.ndarray:
+        """Where the index says that each document stands: its key's first document, and how many of that key come before it.
+
+        Documents without a key come first.
+        """
+        keys, missing = self.index()[4], self.foot["missing"]
+        run = np.arange(len(keys)) - np.searchsorted(keys, keys, "left")
+        return np.concatenate([np.arange(missing), self.first_of(keys) + run])
+
     def blocks(self, ids: int = 1 << 20) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
         """Keys (null where missing), offsets (one more) and ids of the documents, some at a time."""
         offsets, keys, missing = self.section("offsets", "<u8").astype(np.int64), self.section("keys", "<i8"), self.foot["missing"]
@@ -314,8 +338,8 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, out_dir: str
     """Encodes every text and writes the shards and their manifest; returns the folder.
 
     A null text counts as empty and has the end id alone. Rows with a null key come first and are read in
-    order but have no entry in the index; rows of equal keys stand in order of their texts. An empty table
-    gives a store without shards. Other columns are ignored. The folder must be one that all executors and
+    order but have no entry in the index; rows of equal keys stand in order of the input, in one shard or in
+    several. An empty table gives a store without shards. Texts of any length are encoded whole. Other columns are ignored. The folder must be one that all executors and
     the driver share: by default a new one under ``spark.checkpoint.dir``. A repeated task overwrites its
     shard with the same bytes. The driver gets one row per shard.
     """
@@ -329,7 +353,8 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, out_dir: str
     own = common.own_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     rows, most = own.select("doc_id").count(), max(rows_per_shard, MOST_ROWS_PER_SHARD)
     shards = max(1, min(-(-rows // rows_per_shard), max(SHARDS_PER_CORE * spark.sparkContext.defaultParallelism, -(-rows // most))))
-    ordered = own.repartitionByRange(shards, "doc_id").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # The row's number lets rows of one id, or of none, go to several shards.
+    ordered = own.withColumn("lot", F.monotonically_increasing_id()).repartitionByRange(shards, F.col("doc_id").asc_nulls_first(), "lot").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "lot").drop("lot")
     schema = "shard long, path string, docs long, ids long, first_key long, last_key long"
     written = sorted(ordered.transform(common.map_arrow, _write(out_dir, tokenizer_json, end_id, dtype), schema).collect())
     start, manifest = 0, []
@@ -349,26 +374,46 @@ def read_manifest(store: str) -> list[dict]:
         return json.loads(f.read())["shards"]
 
 
+class Store:
+    """An opened store: the manifest is read once, the last ``most_open`` shards stay open with their indexes."""
+
+    def __init__(self, path: str, most_open: int = 64):
+        self.shards = [m for m in read_manifest(path) if m["first_key"] is not None]
+        self.firsts, self.lasts = [m["first_key"] for m in self.shards], [m["last_key"] for m in self.shards]
+        self.open = lru_cache(most_open)(Shard)
+
+    def get(self, key: int) -> list[np.ndarray]:
+        """The ids of each document with this key: the shards by their ranges, the document by the perfect hash."""
+        at = range(bisect_left(self.lasts, key), bisect_right(self.firsts, key))
+        return [ids for i in at for ids in self.open(self.shards[i]["path"]).get(key)]
+
+
 def lookup(store: str, key: int) -> list[np.ndarray]:
-    """The ids of each document with this key: the shard by its range, the document by the perfect hash."""
-    out = []
-    for m in read_manifest(store):
-        if m["first_key"] is not None and m["first_key"] <= key <= m["last_key"]:
-            out += Shard(m["path"]).get(key)
-    return out
+    """The ids of each document with this key; for many keys open the ``Store`` once."""
+    return Store(store).get(key)
 
 
 def _read(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in it:
         for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for keys, offsets, ids in Shard(path).blocks():
-                local = offsets - offsets[0]
-                sums = [zlib.crc32(ids[a:b]) for a, b in zip(local[:-1], local[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([keys, pa.array(offsets[:-1] + start), pa.array(np.diff(offsets)), pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            shard, done = Shard(path), 0
+            places, offsets = shard.places(), shard.index()[3].astype(np.int64)
+            if not np.array_equal(places, np.arange(len(places))):
+                raise ValueError(f"{path}: the index doesn't lead to the documents")
+            for keys, block, ids in shard.blocks():
+                own = places[done : done + len(keys)]
+                begins, ends = offsets[own], offsets[own + 1]
+                sums = [zlib.crc32(ids[a:b]) for a, b in zip((begins - block[0]).tolist(), (ends - block[0]).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([keys, pa.array(begins + start), pa.array(ends - begins), pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                done += len(keys)
 
 
 def read_store(spark: SparkSession, store: str) -> DataFrame:
-    """doc_id, start (ids of all documents before), n_tokens and ids_crc32 of every document, from the files."""
+    """doc_id, start (ids of all documents before), n_tokens and ids_crc32 of every document, from the files.
+
+    Every key is found through its shard's hash, fingerprint and offset; an index that doesn't lead to the
+    documents in their order is an error.
+    """
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
     manifest = read_manifest(store)
     if not manifest:

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import os
 import struct
 import zlib
 
@@ -79,6 +80,47 @@ def test_store_equals_the_library(spark, edges):
     assert id_store.lookup(store, 10**12) == [] and id_store.lookup(store, -1) == []
 
 
+def test_every_key_is_found_by_the_opened_store(spark, frame, prose):
+    rows = [(7 * i - 500, prose(1 + i % 9, i)) for i in range(200)] + [(0, f"again {i}") for i in range(40)] + [(None, "no id")] * 30
+    store = id_store.write_store(frame(rows), WORDS, 2, rows_per_shard=20)
+    opened, tokenizer = id_store.Store(store, most_open=2), Tokenizer.from_file(WORDS)
+    assert len(opened.shards) > 5
+    want = {}
+    for d, t in rows:
+        want.setdefault(d, []).append([*tokenizer.encode(t, add_special_tokens=False).ids, 2])
+    for d in {d for d, _ in rows} - {None}:
+        assert sorted(x.tolist() for x in opened.get(d)) == sorted(want[d])
+    assert all(opened.get(d) == [] for d in (-501, 1, 10**15, -(10**15)))
+    # rows of one id, or of none, are dealt over several shards
+    assert len({m["path"] for m in opened.shards if m["first_key"] <= 0 <= m["last_key"]}) > 1
+    assert id_store.read_store(spark, store).count() == len(rows)
+
+
+def test_a_wrong_index_is_noticed(spark, frame):
+    store = id_store.write_store(frame([(i, f"text {i}") for i in range(50)]), WORDS, 2)
+    path = id_store.read_manifest(store)[0]["path"].removeprefix("file:")
+    at, size = id_store.Shard(path).foot["at"]["ordinals"]
+    data = bytearray(open(path, "rb").read())
+    data[at : at + size] = data[at : at + size][::-1]
+    open(path, "wb").write(data)
+    with pytest.raises(Exception, match="doesn't lead to the documents"):
+        id_store.read_store(spark, store).collect()
+
+
+def test_every_text_of_the_documents_is_encoded_as_a_whole(spark):
+    """Words put together equal the library's encoding of whole texts, on all of the driver's smaller table."""
+    import pyarrow.parquet as pq
+
+    sf = "/root/testdata/sf0.01/documents.parquet"
+    if not os.path.exists(sf):
+        pytest.skip("the driver's tables are absent")
+    texts = pq.read_table(sf, columns=["text"]).column("text").combine_chunks()
+    encoder = id_store.WordEncoder(open(WORDS, encoding="utf-8").read())
+    ids, sizes = encoder.encode(texts, 2)
+    whole = [[*e.ids, 2] for e in encoder.tokenizer.encode_batch([t or "" for t in texts.to_pylist()], add_special_tokens=False)]
+    assert sizes.tolist() == [len(x) for x in whole] and ids.tolist() == [i for x in whole for i in x]
+
+
 def test_empty_store(spark, empty):
     assert id_store.read_store(spark, id_store.write_store(empty, WORDS, 2)).collect() == []
 
