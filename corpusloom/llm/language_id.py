@@ -147,12 +147,17 @@ def log_probability(trie: Trie, p: np.ndarray, words: list[str]) -> np.ndarray:
 
 
 def letter_words(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
-    """The lower-case runs of letters (with marks) of each text: their number, and all of them in order."""
+    """The lower-case runs of letters (with marks, a letter at least) of each text: their number, and all of them in order."""
     low = pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string()))
     raw, off = common.compact(pc.replace_substring_regex(low, r"[^\pL\pM]+", " "))
     begins, ends, counts = common.word_spans(raw, off)
-    words = common.words_of(raw, begins, ends)
-    return counts, words.dictionary_encode()
+    words = common.words_of(raw, begins, ends).dictionary_encode()
+    letters = pc.match_substring_regex(words.dictionary, r"\pL").to_numpy(zero_copy_only=False).astype(bool)
+    if not letters.all():  # marks alone are no word
+        use = letters[words.indices.to_numpy()]
+        counts = np.diff(np.concatenate([[0], np.cumsum(use)])[np.concatenate([[0], np.cumsum(counts)])])
+        words = words.filter(pa.array(use))
+    return counts, words
 
 
 def _word_counts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,11 +290,13 @@ def identify(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     ``und`` with score 0 if the text is null or has no letter, or if the model knows no language. A tie goes
     to the language first in alphabetical order. Repeated rows give repeated rows, an empty table an empty
-    one. ``keep`` may hold any column, but for lang_pred and score, whose names would clash.
+    one. ``keep`` may hold any column; lang_pred and score give way to the prediction's. Texts of any length
+    are scored whole.
     """
     from pyspark.sql import types as T
 
-    own = docs.select(F.col("text").alias("_text"), *(F.col(f"`{c}`") for c in keep))
+    keep = [c for c in keep if c not in ("lang_pred", "score")]
+    own = docs.select(F.col("text").alias("__loom_text"), *(F.col(f"`{c}`") for c in keep))
     schema = T.StructType([*own.schema.fields[1:], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return own.transform(common.map_arrow, _run(model, len(keep)), schema)
 

@@ -81,3 +81,16 @@ def test_long_words_are_cut_not_lost():
     assert "".join(parts) == "▁" + word and max(map(len, parts)) == L.WORD_CHARS
     p = np.full((len(PIECES) + 1, 1), 1e-9)
     assert np.isfinite(L.log_probability(L.Trie(PIECES), p, [word])).all()
+
+
+def test_marks_alone_are_no_letters(frame):
+    rows = [(1, ENGLISH, "en"), (3, GERMAN, "de"), (10, "\u0301", None), (11, "12 \u0301\u0308 --", None), (12, f"\u0301 {GERMAN} \u0308", None)]
+    got = {r.doc_id: (r.lang_pred, r.score > 0) for r in L.train_and_identify(frame(rows), VOCAB, held_out=-1).collect()}
+    assert got[10] == got[11] == ("und", False) and got[12] == ("de", True)
+
+
+def test_clashing_columns_give_way(frame):
+    docs = frame([(1, ENGLISH, "en"), (3, GERMAN, "de")])
+    got = L.identify(docs, L.Model.fit(docs, L.read_pieces(VOCAB)), docs.columns)
+    assert got.columns == [c for c in docs.columns if c not in ("lang_pred", "score")] + ["lang_pred", "score"]
+    assert {(r.text, r.lang_pred, r.key) for r in got.collect()} == {(ENGLISH, "en", -1), (GERMAN, "de", -1)}
