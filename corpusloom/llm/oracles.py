@@ -5,18 +5,34 @@ from __future__ import annotations
 from . import line_templates, repetition_rules, template_decontam
 
 #: Windows of words found twice or more in their text, by plain grouping instead of a suffix array.
+#: The longest repeat of a text: classes of equal runs of 1, 2, 4 ... words as long as some repeat, then the sum of
+#: those powers, from the greatest down, by which repeated runs can be made longer and still repeat.
 REPETITION = f"""
-WITH w AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+WITH RECURSIVE w AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
 p AS (SELECT doc_id, i, n, array_to_string(words[i:i + 2], ' ') AS s3, md5(array_to_string(words[i:i + {repetition_rules.MIN_REPEAT - 1}], ' ')) AS s8, md5(array_to_string(words[i:i + {repetition_rules.MAX_LONGEST}], ' ')) AS s101
   FROM (SELECT doc_id, words, len(words) AS n, unnest(range(1, len(words) + 1)) AS i FROM w)),
 r AS (SELECT doc_id, i, i + 2 <= n AND count(*) OVER (PARTITION BY doc_id, s3) > 1 AS r3, i + {repetition_rules.MIN_REPEAT - 1} <= n AND count(*) OVER (PARTITION BY doc_id, s8) > 1 AS r8, i + {repetition_rules.MAX_LONGEST} <= n AND count(*) OVER (PARTITION BY doc_id, s101) > 1 AS r101 FROM p),
 c AS (SELECT doc_id, r101, bool_or(r3) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS c3, bool_or(r8) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {repetition_rules.MIN_REPEAT - 1} PRECEDING AND CURRENT ROW) AS c8 FROM r),
 a AS (SELECT doc_id, count(*) FILTER (c3) AS n_repeat_words, count(*) FILTER (c8) AS covered_words, bool_or(r101) AS too_long FROM c GROUP BY doc_id),
+up AS (
+  SELECT 0 AS lvl, doc_id, i, min(i) OVER one AS cls FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w) WINDOW one AS (PARTITION BY doc_id, word) QUALIFY count(*) OVER one > 1
+  UNION ALL
+  SELECT a.lvl + 1, a.doc_id, a.i, min(a.i) OVER two FROM up a JOIN up b ON b.doc_id = a.doc_id AND b.i = a.i + (1 << a.lvl) WINDOW two AS (PARTITION BY a.doc_id, a.cls, b.cls) QUALIFY count(*) OVER two > 1
+),
+down AS (
+  SELECT lvl, doc_id, i, cls, 1 << lvl AS longest FROM up QUALIFY lvl = max(lvl) OVER (PARTITION BY doc_id)
+  UNION ALL
+  SELECT lvl - 1, doc_id, i, CASE WHEN grows THEN min(i) OVER (PARTITION BY doc_id, cls, more) ELSE cls END, CASE WHEN grows THEN longest + (1 << (lvl - 1)) ELSE longest END
+  FROM (SELECT *, bool_or(ok) OVER (PARTITION BY doc_id) AS grows
+        FROM (SELECT d.*, u.cls AS more, u.cls IS NOT NULL AND count(*) OVER (PARTITION BY d.doc_id, d.cls, u.cls) > 1 AS ok FROM down d LEFT JOIN up u ON u.doc_id = d.doc_id AND u.lvl = d.lvl - 1 AND u.i = d.i + d.longest WHERE d.lvl > 0))
+  WHERE ok OR NOT grows
+),
+longest AS (SELECT doc_id, max(longest) AS longest FROM down GROUP BY doc_id),
 l AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
-b AS (SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(covered_words, 0)::BIGINT AS covered_words, coalesce(too_long, false) AS too_long
-  FROM w LEFT JOIN a ON a.doc_id = w.doc_id LEFT JOIN l ON l.doc_id = w.doc_id),
+b AS (SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(covered_words, 0)::BIGINT AS covered_words, coalesce(too_long, false) AS too_long, (CASE WHEN longest >= {repetition_rules.MIN_REPEAT} THEN longest ELSE 0 END)::BIGINT AS longest_repeat
+  FROM w LEFT JOIN a ON a.doc_id = w.doc_id LEFT JOIN l ON l.doc_id = w.doc_id LEFT JOIN longest ON longest.doc_id = w.doc_id),
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words, base_failed, NOT base_failed AND covered_words::DOUBLE / greatest(n_words, 1) <= {repetition_rules.MAX_FRACTION} AND NOT too_long AS kept FROM f
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, longest_repeat, covered_words, covered_words::DOUBLE / greatest(n_words, 1) AS covered_fraction, base_failed, NOT base_failed AND covered_words::DOUBLE / greatest(n_words, 1) <= {repetition_rules.MAX_FRACTION} AND NOT too_long AS kept FROM f
 """
 
 #: The template tree with the lines' own texts as keys, and one recursive step for each round of splits.

@@ -138,3 +138,43 @@ def test_substring_edges(frame, edges, empty, prose):
     assert got[1].repeated_words == got[2].repeated_words == 80
     assert got[1].removed_words == 0 and got[2].removed_words == 80
     assert sorted(str(r.text) for r in chunk_dedup.remove_repeats(edges).collect()) == sorted(str(r.text) for r in edges.collect())
+
+
+def brute_passages(rows):
+    """Per document the spans of repeated passages, by the definition, byte by byte."""
+    G = chunk_dedup
+
+    def cut(raw):
+        hashes = [sum(int(G.GEAR[raw[i - k]]) << k for k in range(G.WINDOW) if i >= k) % 65536 for i in range(len(raw))]
+        low = [i + 1 for i, h in enumerate(hashes) if h < 65536 // G.RATE]
+        ends = [e for j, e in enumerate(low) if e >= G.WINDOW + G.GAP and (j == 0 or e - low[j - 1] >= G.GAP) and e < len(raw) and raw[e] & 0xC0 != 0x80]
+        return list(zip([0, *ends], [*ends, len(raw)], strict=True)) if raw else []
+
+    owners, chunks = {}, {}
+    for d, t in rows:
+        raw = t.encode()
+        chunks[d] = [(a, b, raw[a:b]) for a, b in cut(raw)]
+        for _, _, c in chunks[d]:
+            owners.setdefault(c, set()).add(d)
+    out = {}
+    for d, t in rows:
+        raw, run, spans = t.encode(), [], []
+        starts = {i for i in range(len(raw)) if chr(raw[i]).strip() and (i == 0 or not chr(raw[i - 1]).strip())}
+        for a, b, c in [*chunks[d], (0, 0, None)]:
+            if c is not None and len(owners[c]) > 1:
+                run.append((a, b))
+            else:
+                if sum(x <= i < y for i in starts for x, y in run) >= G.MIN_WORDS:
+                    spans.append((run[0][0], run[-1][1]))
+                run = []
+        if spans:
+            out[d] = spans
+    return out
+
+
+def test_passages_equal_brute_force(frame, prose):
+    passages = [prose(30 + 5 * k, 7100 + k) for k in range(6)]
+    rows = [(i, f"{prose(15 + i % 4, 40 + i)} {passages[i % 6]} {prose(12, 800 + i)}") for i in range(18)]
+    rows += [(50, passages[0]), (51, f"{passages[1]} {passages[2]}"), (52, prose(60, 5)), (53, "")]
+    got = {r.doc_id: [tuple(p) for p in r.passages] for r in chunk_dedup.repeated_passages(frame(rows)).collect()}
+    assert got == brute_passages(rows) and len(got) > 15

@@ -128,3 +128,67 @@ def test_severity_orders_and_catches(spark, frame):
 def test_thresholds_ascend():
     model = severity.fit(["bad bad"] * 8 + ["bad"] * 8 + ["fine"] * 40, np.array([1.0] * 16 + [0.0] * 40), np.ones(56))
     assert model.terms and (np.diff(model.thresholds) > 0).all()
+
+
+def test_severity_equals_its_definition(frame, edges):
+    """Scores by plain counting of words and word beginnings, and grades from the cumulative links."""
+    import math
+    import unicodedata
+
+    terms = ["bad", "badl*", "word", "tex*", "ça"]
+    model = severity.Severity(terms, np.array([0.7, 1.1, -0.2, 0.4, 0.9]), np.array([0.5, 1.5, 2.5]))
+    rows = [*((r.doc_id, r.text) for r in edges.collect()), (20, "Bad badly BADLANDS word, bad texts"), (21, "bad" * 9)]
+    got = next(iter(severity._run(model)(iter([pa.RecordBatch.from_arrays([pa.array([d for d, _ in rows], pa.int64()), pa.array([t for _, t in rows], pa.string())], names=["doc_id", "text"])]))))
+    for (_, text), severe, toxic in zip(rows, got.column("severity").to_pylist(), got.column("p_toxic").to_pylist(), strict=True):
+        words, run = [], ""
+        for c in (text or "").lower() + " ":
+            if unicodedata.category(c)[0] in "LM":
+                run += c
+            elif run:
+                words, run = [*words, run], ""
+        uses = [sum(w == t for w in words) if not t.endswith("*") else sum(w.startswith(t[:-1]) and len(w) > len(t) - 1 and len(t) - 1 in severity.PREFIXES for w in words) for t in terms]
+        score = sum((1 + math.log(n)) * w for n, w in zip(uses, model.weights, strict=True) if n)
+        above = [1 / (1 + math.exp(-(score - t))) for t in model.thresholds]
+        assert abs(severe - sum(above)) < 1e-9 and abs(toxic - above[0]) < 1e-9
+
+
+def test_severity_fit_is_a_minimum():
+    """No small step of any parameter lowers the ordinal loss, taken from its definition."""
+    texts = ["bad bad bad vile"] * 6 + ["bad word"] * 10 + ["vile bad"] * 8 + ["word"] * 8 + ["fine word"] * 60 + ["word"] * 20 + ["bad"] * 4 + ["vile bad bad"] * 3
+    labels = np.array([1.0] * 32 + [0.0] * 87)  # the classes overlap, so the least loss is at finite weights
+    model = severity.fit(texts, labels, np.ones(len(texts)))
+    doc, term, n, _ = severity.term_counts(pa.array(texts, pa.large_string()), pa.array(model.terms, pa.string()))
+    use = np.bincount(doc, 1 + np.log(n), len(texts))
+    grades = np.zeros(len(texts), int)
+    grades[:32] = 1 + np.searchsorted(np.quantile(use[:32], [1 / 3, 2 / 3]), use[:32], "left")
+
+    def loss(weights, thresholds):
+        s = np.bincount(doc, (1 + np.log(n)) * weights[term], len(texts))
+        above = np.concatenate([np.ones((len(s), 1)), 1 / (1 + np.exp(-(s[:, None] - thresholds))), np.zeros((len(s), 1))], 1)
+        return -np.log(np.maximum(above[np.arange(len(s)), grades] - above[np.arange(len(s)), grades + 1], 1e-9)).mean() + severity.SHRINK / 2 * (weights**2).sum()
+
+    least = loss(model.weights, model.thresholds)
+    for step in (-0.2, 0.2):
+        for i in range(len(model.terms)):
+            w = model.weights.copy()
+            w[i] += step
+            assert loss(w, model.thresholds) > least
+        for i in range(severity.TOP_GRADE):
+            t = model.thresholds.copy()
+            t[i] += step
+            assert loss(model.weights, t) > least
+
+
+def test_network_gradient_lowers_the_loss(prose):
+    """Training from the same start reaches a far lower loss than the untrained network has."""
+    rows, labels = labelled(prose, 80)
+    y = np.array([float(q) for _, q, _ in labels])
+    texts = [t for _, t in rows]
+    from corpusloom.llm import common
+
+    def loss(net):
+        p = np.clip(net.score(*common.compact(pa.array(texts, pa.string())), net.pair_tables()), 1e-6, 1 - 1e-6)
+        return -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean()
+
+    trained = byte_cnn.fit(texts, y, np.ones(len(y)))
+    assert loss(trained) < 0.2 * loss(byte_cnn.fit([], np.zeros(0), np.zeros(0)))
