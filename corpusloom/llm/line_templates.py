@@ -2,22 +2,25 @@
 
 A line's tokens are what single spaces separate; tokens with a digit are variable fields at once (``<*>``). A
 line goes to the leaf of its token count and its first ``DEPTH`` tokens. A leaf's different lines are one group at
-first. In a group, a position is constant if all its lines have one token there. A group with ``SIMILARITY`` of
-its positions constant is a template: its other positions are variable. Any other group is split at the position
-whose commonest token is commonest (the first of several): lines with a token there that ``MIN_DOCS`` documents or
-more have make a group for each such token, the rest make one more; and so on with these groups. Groups that can't
-get enough constant positions so are given up: their lines are templates of their own. A template found in
-``MIN_DOCS`` documents or more is dropped from all of them but the first.
+first. In a group, a position is constant if one token has ``SIMILARITY`` percent of the group's documents there.
+If so many percent of the positions are constant, the group has a template, whose other positions are variable: the
+lines that agree with so many percent of the constants are its members, the rest make a new group. Any other group
+is split at one position, that of the commonest token, not a constant one if possible (the first of several): lines
+with a token there that ``MIN_DOCS`` documents or more have make a group for each such token, the rest make one
+more; and so on with these groups. Groups that can't get a template so are given up: their lines are templates of
+their own. A template found in ``MIN_DOCS`` documents or more is dropped from all of them but the first.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
-DEPTH, SIMILARITY, MIN_DOCS = 2, 0.7, 10
+DEPTH, SIMILARITY, MIN_DOCS = 2, 70, 10
 #: Tables of lines or groups are broadcast up to so many rows (some 100 bytes each), and shuffled beyond it.
 BROADCAST_ROWS = 200_000
 
@@ -56,40 +59,41 @@ def _texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return found.groupBy("group", "key").agg(F.first("n").alias("n"), F.min("line").alias("line")).select("group", "key", "n", F.split("line", " ").alias("tokens"))
 
 
-def templates(docs: DataFrame, lines: DataFrame, similarity: float, min_docs: int) -> DataFrame:
-    """key and group of each line of a group that has become a template.
+def templates(docs: DataFrame, lines: DataFrame, similarity: int, min_docs: int) -> DataFrame:
+    """key and group of each line that is a member of a template.
 
-    Each round judges all open groups at once and splits those that go on, so there are as many rounds as the
-    deepest chain of splits; every split leaves groups with one constant position more, or one less to split at.
+    Each round judges all open groups at once: one with a template loses members (the constants' shares make sure
+    that there is one), one without is split, so there are as many rounds as the deepest chain of these.
     """
     counts = common.cut(lines.groupBy("leaf", "key").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")))
     leaves = counts.groupBy("leaf").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).where((F.col("kinds") > 1) & (F.col("total") >= min_docs)).select("leaf")
-    open_lines = common.cut(_texts(docs, counts.join(common.cut(leaves), "leaf")))
+    lines = common.cut(_texts(docs, counts.join(common.cut(leaves), "leaf")))
+    mostly = lambda part, whole: part * 100 >= whole * similarity
     done = []
     while True:
-        at = open_lines.select("group", "n", F.posexplode("tokens").alias("at", "token"))
-        tokens = common.cut(at.groupBy("group", "at", "token").agg(F.sum("n").alias("n")))
-        places = tokens.groupBy("group", "at").agg(F.max("n").alias("top"), F.sum("n").alias("total"))
-        splits_at = F.max(F.when((F.col("top") >= min_docs) & (F.col("top") < F.col("total")), F.struct("top", (-F.col("at")).alias("at"))))
-        groups = places.groupBy("group").agg(F.count("*").alias("size"), F.max("total").alias("total"), F.count_if(F.col("top") == F.col("total")).alias("constant"), F.count_if(F.col("top") >= min_docs).alias("possible"), splits_at.alias("split"))
-        enough = lambda c: F.col(c) >= F.lit(similarity) * F.col("size")
-        judged = groups.where((F.col("total") >= min_docs) & enough("possible")).select(F.col("group").alias("_group"), enough("constant").alias("done"), (-F.col("split.at")).alias("split"))
-        judged = common.bounded(common.cut(judged.where("done or split is not null")), BROADCAST_ROWS)
-        here = common.cut(open_lines.join(judged, F.col("group") == F.col("_group")).select("group", "key", "n", "tokens", "done", "split"))
-        done.append(here.where("done").select("key", "group"))
-        going = here.where("not done").withColumn("token", F.get("tokens", F.col("split")))
-        frequent = common.bounded(common.cut(tokens.where(F.col("n") >= min_docs).join(judged.where("not done"), (F.col("group") == F.col("_group")) & (F.col("at") == F.col("split"))).select("_group", F.col("token").alias("_token"))), BROADCAST_ROWS)
-        into = going.join(frequent, (F.col("group") == F.col("_group")) & (F.col("token") == F.col("_token")), "left")
-        open_lines = common.cut(into.select(F.xxhash64("group", "split", "_token").alias("group"), "key", "n", "tokens"))
-        if open_lines.isEmpty():
+        tokens = lines.select("group", "n", F.posexplode("tokens").alias("at", "token")).groupBy("group", "at", "token").agg(F.sum("n").alias("n"))
+        places = tokens.groupBy("group", "at").agg(F.max("n").alias("top"), F.max_by("token", "n").alias("token"), F.sum("n").alias("total")).withColumn("fixed", mostly(F.col("top"), F.col("total")))
+        splits = F.max(F.when((F.col("top") >= min_docs) & (F.col("top") < F.col("total")), F.struct((~F.col("fixed")).alias("loose"), "top", (-F.col("at")).alias("at"))))
+        constants = F.sort_array(F.collect_list(F.struct("at", F.when(F.col("fixed"), F.col("token")).alias("token"))))["token"]
+        groups = places.groupBy("group").agg(
+            F.count("*").alias("size"), F.max("total").alias("total"), F.count_if("fixed").alias("constant"), F.count_if(mostly(F.col("top"), F.lit(min_docs))).alias("possible"), splits.alias("split"), constants.alias("template")
+        )
+        judged = groups.where((F.col("total") >= min_docs) & mostly(F.col("possible"), F.col("size"))).withColumn("likely", mostly(F.col("constant"), F.col("size")))
+        judged = common.cut(judged.where("likely or split is not null").select(F.col("group").alias("_group"), "likely", "constant", (-F.col("split.at")).alias("split"), F.when(F.col("likely"), F.col("template")).alias("template")))
+        agree = F.size(F.filter(F.zip_with("tokens", "template", lambda a, b: F.coalesce(a == b, F.lit(False))), lambda x: x))
+        here = lines.join(judged, F.col("group") == F.col("_group")).withColumn("member", F.col("likely") & mostly(agree, F.col("constant"))).withColumn("token", F.when(~F.col("likely"), F.get("tokens", F.col("split"))))
+        frequent = common.cut(here.where("not likely").groupBy("group", "token").agg(F.sum("n").alias("total")).where(F.col("total") >= min_docs).select(F.col("group").alias("_of"), F.col("token").alias("_token")))
+        placed = here.join(frequent, (F.col("group") == F.col("_of")) & (F.col("token") == F.col("_token")), "left")
+        into = F.when(F.col("member"), F.col("group")).when(F.col("likely"), F.xxhash64("group")).otherwise(F.xxhash64("group", "split", "_token"))
+        placed = common.cut(placed.select(into.alias("group"), "key", "n", "tokens", "member"))
+        done.append(placed.where("member").select("key", "group"))
+        lines = placed.where("not member").drop("member")
+        if lines.isEmpty():
             break
-    out = done[0]
-    for more in done[1:]:
-        out = out.union(more)
-    return out
+    return reduce(DataFrame.union, done)
 
 
-def recurring_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMILARITY, min_docs: int = MIN_DOCS) -> DataFrame:
+def recurring_lines(docs: DataFrame, depth: int = DEPTH, similarity: int = SIMILARITY, min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id and key of each line that is to be dropped."""
     lines = common.cut(line_table(docs, depth))
     shared = common.cut(templates(docs, lines, similarity, min_docs).select(F.col("key").alias("k"), F.unhex(F.lpad(F.hex("group"), 16, "0")).alias("shared")))
@@ -100,13 +104,13 @@ def recurring_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIM
     return placed.join(found, F.col("template") == F.col("t")).where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select("doc_id", "key")
 
 
-def drop_recurring_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMILARITY, min_docs: int = MIN_DOCS) -> DataFrame:
+def drop_recurring_lines(docs: DataFrame, depth: int = DEPTH, similarity: int = SIMILARITY, min_docs: int = MIN_DOCS) -> DataFrame:
     """All columns and rows of ``docs``, ``text`` without its recurring lines, and n_lines, n_dropped.
 
     n_lines counts the text's lines that aren't blank, n_dropped those dropped. Blank lines stay, but for a
     text that loses all its other lines, which becomes empty. A null text stays null with no lines. Rows of
     one id (or of none) count as one document; the first is that of the smallest id (none is the smallest).
-    Where positions tie, the first is split at. Columns of ``docs`` called n_lines or n_dropped give way. An
+    Where tokens tie at a position, neither is constant; where positions tie, the first is split at. Columns of ``docs`` called n_lines or n_dropped give way. An
     empty table gives an empty one. Texts and lines of any length are handled whole.
     """
     gone = recurring_lines(docs, depth, similarity, min_docs).groupBy("doc_id").agg(F.collect_set("key").alias("__loom_gone")).withColumnRenamed("doc_id", "__loom_id")

@@ -44,12 +44,14 @@ c AS (SELECT size || ' ' || head AS leaf, key, count(*) AS docs FROM d GROUP BY
 g AS (
   SELECT leaf AS gid, key, docs, string_split(key, ' ') AS tokens, false AS done FROM c
   UNION ALL
-  SELECT CASE WHEN j.done THEN o.gid WHEN f.token IS NULL THEN o.gid || chr(10) || j.p || ' other' ELSE o.gid || chr(10) || j.p || ' is ' || f.token END, o.key, o.docs, o.tokens, j.done
-  FROM g o
-  JOIN (SELECT gid, count(*) FILTER (top = total) >= {line_templates.SIMILARITY}::DOUBLE * count(*) AS done, arg_min(p, (-top, p)) FILTER (top >= {line_templates.MIN_DOCS} AND top < total) AS p
-        FROM (SELECT gid, p, max(n) AS top, sum(n) AS total FROM (SELECT gid, p, token, sum(docs) AS n FROM (SELECT gid, docs, unnest(range(1, len(tokens) + 1)) AS p, unnest(tokens) AS token FROM g WHERE NOT done) GROUP BY ALL) GROUP BY ALL)
-        GROUP BY gid HAVING max(total) >= {line_templates.MIN_DOCS} AND count(*) FILTER (top >= {line_templates.MIN_DOCS}) >= {line_templates.SIMILARITY}::DOUBLE * count(*)) j ON o.gid = j.gid AND NOT o.done AND (j.done OR j.p IS NOT NULL)
-  LEFT JOIN (SELECT gid, p, token FROM (SELECT gid, docs, unnest(range(1, len(tokens) + 1)) AS p, unnest(tokens) AS token FROM g WHERE NOT done) GROUP BY ALL HAVING sum(docs) >= {line_templates.MIN_DOCS}) f ON f.gid = o.gid AND f.p = j.p AND f.token = o.tokens[j.p]
+  SELECT CASE WHEN member THEN gid WHEN likely THEN gid || chr(10) || 'other' WHEN frequent IS NULL THEN gid || chr(10) || place || ' other' ELSE gid || chr(10) || place || ' is ' || frequent END, key, docs, tokens, member
+  FROM (
+    SELECT o.*, j.likely, j.place, f.token AS frequent, j.likely AND 100 * len(list_filter(j.template, lambda x: o.tokens[x.p] = x.token)) >= {line_templates.SIMILARITY} * len(j.template) AS member
+    FROM g o
+    JOIN (SELECT gid, 100 * count(*) FILTER (fixed) >= {line_templates.SIMILARITY} * count(*) AS likely, arg_min(p, (fixed, -top, p)) FILTER (top >= {line_templates.MIN_DOCS} AND top < total) AS place, list(struct_pack(p := p, token := token)) FILTER (fixed) AS template
+          FROM (SELECT *, 100 * top >= {line_templates.SIMILARITY} * total AS fixed FROM (SELECT gid, p, max(n) AS top, arg_max(token, n) AS token, sum(n) AS total FROM (SELECT gid, p, token, sum(docs) AS n FROM (SELECT gid, docs, unnest(range(1, len(tokens) + 1)) AS p, unnest(tokens) AS token FROM g WHERE NOT done) GROUP BY ALL) GROUP BY gid, p))
+          GROUP BY gid HAVING max(total) >= {line_templates.MIN_DOCS} AND 100 * count(*) FILTER (100 * top >= {line_templates.SIMILARITY} * {line_templates.MIN_DOCS}) >= {line_templates.SIMILARITY} * count(*)) j ON o.gid = j.gid AND NOT o.done AND (j.likely OR j.place IS NOT NULL)
+    LEFT JOIN (SELECT gid, p, token FROM (SELECT gid, docs, unnest(range(1, len(tokens) + 1)) AS p, unnest(tokens) AS token FROM g WHERE NOT done) GROUP BY ALL HAVING sum(docs) >= {line_templates.MIN_DOCS}) f ON f.gid = o.gid AND f.p = j.place AND f.token = o.tokens[j.place])
 ),
 member AS (SELECT key, gid FROM g WHERE done),
 placed AS (SELECT d.doc_id, d.key, CASE WHEN m.key IS NULL THEN 'line ' || d.key ELSE 'group ' || m.gid END AS template FROM d LEFT JOIN member m ON m.key = d.key),
