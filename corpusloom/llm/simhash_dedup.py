@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from . import common
 
 SHINGLE, SEED, DISTANCE = 4, 42, 4
-#: Crowded cells are broadcast up to this number (16 bytes each), and shuffled beyond it.
-BROADCAST_CELLS = 500_000
+#: A row of the grid costs about as much as testing so many pairs.
+PAIRS_PER_ROW = 20
 
 
 def fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
@@ -80,11 +80,11 @@ def with_fingerprints(docs: DataFrame, *hashes: Column) -> DataFrame:
 
 
 def slabs_for(n: int, distance: int) -> int:
-    """The number of slabs for n fingerprints: least rows of the grid and of pairs in one cell.
+    """The number of slabs for n fingerprints: least work for the grid's rows and the pairs in one cell.
 
     A segment's count has 1.5 bits of information, so a cell of ``s - distance`` of s slabs has 48 / s bits for each.
     """
-    rows = lambda s: math.comb(s, distance) * (n + n * n / 2 ** (48 * (s - distance) / s))
+    rows = lambda s: math.comb(s, distance) * (PAIRS_PER_ROW * n + n * n / 2 ** (48 * (s - distance) / s))
     return min(range(distance + 1, distance + 13), key=rows)
 
 
@@ -149,15 +149,14 @@ def link(fps: DataFrame, distance: int = DISTANCE, slabs: int | None = None) ->
     fps = common.cut(fps)
     slabs = slabs or slabs_for(fps.count(), distance)
     grid = cells(fps, distance, slabs)
-    # Only cells of several points matter from here on.
+    # Only cells of several points matter from here on. Stored, so that a crowded cell's rows can be split.
     least = grid.groupBy("cell").agg(F.min("fp").alias("hub"), F.count("*").alias("n")).where("n > 1").select("cell", "hub")
-    least = common.bounded(common.cut(least), BROADCAST_CELLS)
-    stars = grid.join(least, "cell").where((F.col("fp") != F.col("hub")) & _near(F.col("fp"), F.col("hub"), distance)).select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
+    least = common.cut(least)
+    stars = grid.join(least.hint("merge"), "cell").where((F.col("fp") != F.col("hub")) & _near(F.col("fp"), F.col("hub"), distance)).select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
     rough = common.cut(components(fps, stars))
-    points = cells(rough, distance, slabs).join(least.select("cell"), "cell", "left_semi")
+    points = common.cut(cells(rough, distance, slabs).join(least.select("cell").hint("merge"), "cell", "left_semi"))
     mixed = points.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("cell")
-    mixed = common.bounded(common.cut(mixed), BROADCAST_CELLS)
-    points = common.cut(points.join(mixed, "cell", "left_semi"))
+    points = common.cut(points.join(common.cut(mixed), "cell", "left_semi"))
     left = points.select("cell", F.col("fp").alias("a"), F.col("root").alias("ra"))
     right = points.select(F.col("cell").alias("own_cell"), F.col("fp").alias("b"), F.col("root").alias("rb"))
     # One link between two rough components is as good as all of them.
