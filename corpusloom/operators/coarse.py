@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -9,6 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import count_matches, normalize_for_model
+from ..session import ship
+
+#: A Python worker's model, by the scoring that it belongs to.
+_models: dict[str, Callable] = {}
 
 
 @dataclass(frozen=True)
@@ -61,10 +66,16 @@ class ModelScorer:
 
     def score(self, df: DataFrame, text: str = "english") -> DataFrame:
         load, batch = self.load, self.batch
-        names = df.columns
+        names, key = df.columns, uuid.uuid4().hex
+        ship(df.sparkSession)
 
         def run(frames: Iterator) -> Iterator:
-            model = load()
+            from corpusloom.operators import coarse  # the worker's own module, which outlives the task
+
+            if key not in coarse._models:
+                coarse._models.clear()
+                coarse._models[key] = load()
+            model = coarse._models[key]
             for pdf in frames:
                 labels, scores = [], []
                 texts = pdf["_text"].tolist()

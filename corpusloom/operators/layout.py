@@ -12,14 +12,10 @@ from pyspark.sql import types as T
 from ..functions.text import NON_LATIN, has_english_word, has_non_latin, strip
 
 #: Header names, normalised (lower case, letters and digits only).
-ID_NAMES = frozenset("id sn sno serial serialno index idx no num number rowid row sr srno key uid".split())
-ENGLISH_NAMES = frozenset("english en eng source src sourcetext englishtext englishsentence sentence text sourcesentence input l1".split())
-TARGET_NAMES = frozenset("target tgt translation translate translated targettext targetsentence output l2 trg".split())
-LANGUAGE_NAMES = frozenset(
-    "nepali nep ne hindi hi bengali bangla bn urdu ur tamil ta telugu te marathi mr gujarati gu kannada kn malayalam ml punjabi pa odia oriya assamese as sinhala si maithili bhojpuri newari "
-    "arabic ar persian farsi fa hebrew he chinese zh mandarin japanese ja korean ko thai th vietnamese vi russian ru ukrainian uk greek el amharic am swahili sw french fr spanish es portuguese pt "
-    "german de italian it turkish tr indonesian id2 malay ms tagalog filipino burmese my khmer km lao lo tibetan dzongkha devanagari".split()
-)
+ID_NAMES = frozenset(("id", "sn", "sno", "serial", "serialno", "index", "idx", "no", "num", "number", "rowid", "row", "sr", "srno", "key", "uid"))
+ENGLISH_NAMES = frozenset(("english", "en", "eng", "source", "src", "sourcetext", "englishtext", "englishsentence", "sentence", "text", "sourcesentence", "input", "l1"))
+TARGET_NAMES = frozenset(("target", "tgt", "translation", "translate", "translated", "targettext", "targetsentence", "output", "l2", "trg"))
+LANGUAGE_NAMES = frozenset(("nepali", "nep", "ne", "hindi", "hi", "bengali", "bangla", "bn", "urdu", "ur", "tamil", "ta", "telugu", "te", "marathi", "mr", "gujarati", "gu", "kannada", "kn", "malayalam", "ml", "punjabi", "pa", "odia", "oriya", "assamese", "as", "sinhala", "si", "maithili", "bhojpuri", "newari", "arabic", "ar", "persian", "farsi", "fa", "hebrew", "he", "chinese", "zh", "mandarin", "japanese", "ja", "korean", "ko", "thai", "th", "vietnamese", "vi", "russian", "ru", "ukrainian", "uk", "greek", "el", "amharic", "am", "swahili", "sw", "french", "fr", "spanish", "es", "portuguese", "pt", "german", "de", "italian", "it", "turkish", "tr", "indonesian", "id2", "malay", "ms", "tagalog", "filipino", "burmese", "my", "khmer", "km", "lao", "lo", "tibetan", "dzongkha", "devanagari"))
 ANY_TARGET = TARGET_NAMES | LANGUAGE_NAMES
 
 #: Above the one share a column is the target side, below the other the English side; least

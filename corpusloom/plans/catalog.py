@@ -453,20 +453,24 @@ def unclassified_bucket(spark, sf_dir):
 # ── Chunks, progress, export ──────────────────────────────────────────────────────────────────────────
 
 
+def _numbered(spark, sf_dir):
+    """The lines with their chunk, not scored."""
+    return corpus.with_ordinal(lines(spark, sf_dir), ["row_id"]).withColumn("chunk_id", F.floor(F.col("ordinal") / CHUNK).cast("long"))
+
+
 def _chunked(spark, sf_dir):
-    numbered = corpus.with_ordinal(lines(spark, sf_dir), ["row_id"])  # before the scores, as its sort reads rows twice
-    return route.apply_routing(SCORER.score(numbered), SYNTHETIC).withColumn("chunk_id", F.floor(F.col("ordinal") / CHUNK).cast("long"))
+    return route.apply_routing(SCORER.score(_numbered(spark, sf_dir)), SYNTHETIC)
 
 
 @query(_sql(f"SELECT row_id, ordinal // {CHUNK} AS chunk_id FROM ordered", "ordered"))
 def chunk_assign(spark, sf_dir):
-    return _chunked(spark, sf_dir).select("row_id", "chunk_id")
+    return _numbered(spark, sf_dir).select("row_id", "chunk_id")
 
 
 @query(_sql(f"SELECT DISTINCT ordinal // {CHUNK} AS chunk_id FROM ordered WHERE (ordinal // {CHUNK}) % 2 = 1", "ordered"))
 def chunk_resume_anti(spark, sf_dir):
     """Chunks that aren't done, where those of even number are."""
-    every = _chunked(spark, sf_dir).select("chunk_id").distinct()
+    every = _numbered(spark, sf_dir).select("chunk_id").distinct()
     return every.join(stored(every.where("chunk_id % 2 = 0"), "manifest"), "chunk_id", "left_anti")
 
 
@@ -481,7 +485,7 @@ def ckpt_scan(spark, sf_dir):
 def stage1_progress(spark, sf_dir):
     """Rows of the finished chunks against an exact count of the source."""
     done = F.count_if(F.col("chunk_id") % 2 == 0)
-    return _chunked(spark, sf_dir).agg(F.count("*").alias("total"), done.alias("done"), F.round(100.0 * done / F.count("*"), 2).alias("percent"))
+    return _numbered(spark, sf_dir).agg(F.count("*").alias("total"), done.alias("done"), F.round(100.0 * done / F.count("*"), 2).alias("percent"))
 
 
 @query(_sql(f"SELECT domain, part, (part - 1) * {PART} + 1 AS first_row, least(part * {PART}, n) AS last_row, least(part * {PART}, n) - (part - 1) * {PART} AS rows FROM (SELECT domain, n, unnest(range(1, (n + {PART} - 1) // {PART} + 1)) AS part FROM (SELECT domain, count(*) AS n FROM routed WHERE domain IS NOT NULL GROUP BY domain))", "routed"))

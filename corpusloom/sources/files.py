@@ -60,7 +60,7 @@ def read_raw(spark: SparkSession, path: str, na_values: list[str] | None = None)
     df = _csv(spark, path, True, na_values or [])
     if layout.headerless(df.columns):
         df = _csv(spark, path, False, na_values or [])
-    return df.select(F.monotonically_increasing_id().alias("row_number"), *(F.col(f"`{c}`") for c in df.columns))
+    return df.select(F.monotonically_increasing_id().alias("row_number"), *(F.col(f"`{c}`").alias("row_number_source" if c == "row_number" else c) for c in df.columns))
 
 
 def read_parallel(spark: SparkSession, path: str, target: str = "target", na_values: list[str] | None = None) -> DataFrame:
