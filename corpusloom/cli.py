@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import argparse
 import csv
+import importlib
 import sys
 from datetime import datetime
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from .functions.text import normalize_for_model
 from .operators import cascade, export, gold, metrics, route, seeds, student
 from .operators.coarse import LexicalScorer
 from .plans.taxonomy import PRODUCTION, RECALL_PROBES
@@ -18,7 +20,7 @@ from .sources import books, files
 from .streaming import incremental
 
 #: Until a network is plugged in, the coarse labels come from the domains' probes.
-SCORER = LexicalScorer({label: "|".join(d.probe) for d in PRODUCTION.domains for label in (*d.whole, *d.partial)[:1] if d.probe}, none_label="News", none_score=0.0)
+SCORER = LexicalScorer({label: "|".join(words) for label, words in PRODUCTION.label_probes().items()}, none_label="News", none_score=0.0)
 #: Fixed value: rows of an uploaded file that are classified.
 UPLOAD_ROWS = 200_000
 CORPUS = "id string, english string, target string, source_file string, row_number long"
@@ -29,7 +31,8 @@ class Work:
 
     def __init__(self, folder: str):
         self.folder = Path(folder)
-        self.corpus, self.stage1, self.checkpoint, self.classified, self.splits, self.books, self.gold = (str(self.folder / x) for x in ("corpus", "stage1", "stage1_checkpoint", "classified", "domain_splits", "workbooks", "gold"))
+        names = ("corpus", "stage1", "stage1_checkpoint", "classified", "domain_splits", "workbooks", "gold", "seeds", "models")
+        self.corpus, self.stage1, self.checkpoint, self.classified, self.splits, self.books, self.gold, self.seeds, self.models = (str(self.folder / x) for x in names)
 
     def need(self, path: str, what: str) -> str:
         if not Path(path).exists():
@@ -49,8 +52,10 @@ def main(argv: list[str] | None = None) -> int:
     sub.add_parser("status")
     s = sub.add_parser("stage1")
     s.add_argument("--budget", type=float)
-    sub.add_parser("seed")
-    sub.add_parser("seed-targeted")
+    teacher = argparse.ArgumentParser(add_help=False)
+    teacher.add_argument("--teacher", help="module:function that opens a teacher, a function from a prompt to its answer")
+    sub.add_parser("seed", parents=[teacher])
+    sub.add_parser("seed-targeted", parents=[teacher])
     f = sub.add_parser("finish")
     f.add_argument("--no-combined", action="store_true")
     e = sub.add_parser("export")
@@ -63,7 +68,7 @@ def main(argv: list[str] | None = None) -> int:
     g.add_argument("--per-domain", type=int, default=gold.PER_DOMAIN)
     g.add_argument("--recall", type=int, default=gold.PER_PROBE)
     v = sub.add_parser("evaluate")
-    v.add_argument("labelled", help="a CSV with truth, pred and part")
+    v.add_argument("labelled", nargs="?", help="a CSV with english, part and the true domain, classified here, or with truth, pred and part; by default the labelled gold set")
     r = sub.add_parser("fix-bom")
     r.add_argument("paths", nargs="+")
     p = sub.add_parser("predict")
@@ -76,7 +81,7 @@ def main(argv: list[str] | None = None) -> int:
     es.add_argument("seeds")
     es.add_argument("--folds", type=int, default=5)
     sub.add_parser("label-gold", help="label the gold set by hand, its predictions hidden")
-    sub.add_parser("all")
+    sub.add_parser("all", parents=[teacher], help="stage1, seed, seed-targeted, finish, evaluate")
     args = ap.parse_args(argv)
     if args.command == "taxonomy":
         for label, outcome, domain, who in PRODUCTION.routing_rows():
@@ -109,13 +114,15 @@ def _build(spark, work, args):
 
 def _probe(spark, work, args):
     df = _corpus(spark, work)
-    df.agg(F.count("*").alias("rows"), *(F.count_if(cascade.F.lower("english").rlike("|".join(k))).alias(d) for d, k in PRODUCTION.probes.items())).show(truncate=False)
+    df.agg(F.count("*").alias("rows"), *(F.count_if(F.lower("english").rlike("|".join(k))).alias(d) for d, k in PRODUCTION.probes.items())).show(truncate=False)
     return 0
 
 
 def _status(spark, work, args):
     done = spark.read.parquet(work.stage1) if Path(work.stage1).exists() else spark.createDataFrame([], "english string")
     incremental.progress(_corpus(spark, work), done).show()
+    if Path(work.seeds).exists():
+        seeds.distribution(_seeds(spark, work), "label").orderBy(F.desc("count"), "label").show(1000, truncate=False)
     return 0
 
 
@@ -129,17 +136,45 @@ def _routed(spark, work):
     return spark.read.parquet(work.need(work.stage1, "run stage1")).withColumn("key", F.sha2("english", 256))
 
 
+def _seeds(spark, work):
+    """label and text of the seed lines on the taxonomy, of which any text file may be put into the folder."""
+    lines = spark.read.text(work.seeds) if Path(work.seeds).exists() else spark.createDataFrame([], "value string")
+    return seeds.on_taxonomy(seeds.parse_seeds(lines), PRODUCTION)
+
+
+def _student(spark, work):
+    """The stage 2 trained on the seeds, kept until they change; with seeds of less than two domains, by keywords."""
+    rows = _seeds(spark, work)
+    if rows.select("label").distinct().count() < 2:
+        print("no seeds of two domains: stage 2 goes by keywords")
+        return cascade.keyword_stage2(PRODUCTION)
+    return student.stage2(student.train(rows, work.models, **student.SENTENCE_SIZE))
+
+
 def _seed(spark, work, args):
-    """Without a teacher the sentences to label are listed."""
+    """A teacher's answers become seed lines; without a teacher the sentences to label are listed."""
+    return _sow(spark, work, args.teacher, args.command == "seed-targeted")
+
+
+def _sow(spark, work, teacher, targeted):
     rows = _routed(spark, work)
-    chosen = seeds.targeted_seeds(rows, PRODUCTION, "key") if args.command == "seed-targeted" else seeds.random_seeds(rows, PRODUCTION, "key")
-    print(files.export_csv(chosen.select("english"), f"{args.work}/to_label.csv"), "sentences to label")
+    chosen = seeds.targeted_seeds(rows, PRODUCTION, "key") if targeted else seeds.random_seeds(rows, PRODUCTION, "key")
+    wanted = seeds.todo(chosen, _seeds(spark, work))
+    if teacher is None:
+        print(files.export_csv(wanted.select(F.col("text").alias("english")), f"{work.folder}/to_label.csv"), "sentences to label")
+        return 0
+    module, name = teacher.split(":")
+    # The answers are stored first: the folder that they are appended to is read to find what is left to do.
+    answers = stored(seeds.teach(wanted, PRODUCTION, getattr(importlib.import_module(module), name)), "answers")
+    seeds.seed_lines(answers).write.mode("append").text(work.seeds)
+    print(answers.count(), "seeds added")
     return 0
 
 
 def _finish(spark, work, args):
-    rows = spark.read.parquet(work.need(work.stage1, "run stage1")).drop("label", "score", "route", "domain")
-    out = cascade.classify(rows, PRODUCTION, SCORER, cascade.keyword_stage2(PRODUCTION))
+    """Stage 2 over what stage 1 has stored; stage 1 isn't run again."""
+    rows = spark.read.parquet(work.need(work.stage1, "run stage1")).withColumn("text_norm", normalize_for_model(F.col("english")))
+    out = cascade.decide(rows, _student(spark, work)).withColumn("stage", route.stage_of(F.col("route")))
     out.write.mode("overwrite").parquet(work.classified)
     out = spark.read.parquet(work.classified)
     print(files.export_domains(out, work.splits))
@@ -155,7 +190,8 @@ def _classified(spark, work):
 
 def _export(spark, work, args):
     df = _classified(spark, work)
-    meta = export.run_metadata(df, {"threshold": str(route.THRESHOLD)}, datetime.now().strftime("%Y-%m-%d %H:%M:%S"))
+    models = {"stage 1": {"model": type(SCORER).__name__, "labels": str(len(PRODUCTION.labels))}, "stage 2": {"model": "softmax over n-grams", **{k: str(v) for k, v in student.SENTENCE_SIZE.items()}}}
+    meta = export.run_metadata(df, {"threshold": str(route.THRESHOLD)}, datetime.now().strftime("%Y-%m-%d %H:%M:%S"), models, _seeds(spark, work), export.COLUMN_NOTES)
     books.write_summary(df, meta, f"{work.books}/domain_summary.xlsx", args.rows)
     if args.chunks and not args.summary:
         print(*books.write_chunks(df, meta, f"{work.books}/chunks", ["source_file", "row_number"], args.rows), sep="\n")
@@ -172,9 +208,17 @@ def _gold(spark, work, args):
 
 
 def _evaluate(spark, work, args):
-    df = spark.read.csv(args.labelled, header=True, multiLine=True, escape='"')
+    """Both stages over the labelled gold rows, reported by part: the parts measure different things."""
+    df = spark.read.csv(args.labelled or work.need(f"{work.gold}/gold_labelled.csv", "label-gold"), header=True, multiLine=True, escape='"')
+    if "pred" not in df.columns:
+        rows = df.where("domain is not null and trim(domain) <> ''").withColumnRenamed("domain", "truth")
+        df = cascade.classify(rows, PRODUCTION, SCORER, _student(spark, work)).withColumnRenamed("domain", "pred")
+    df = stored(df.withColumn("part", F.regexp_replace("part", ":.*", "") if "part" in df.columns else F.lit("all")).select("truth", "pred", "part"), "judged")
     metrics.class_report(df, ("part",)).orderBy("part", "label").show(1000, truncate=False)
+    metrics.f1_summary(df, ("part",)).orderBy("part").show()
     metrics.f1_summary(df).show()
+    names = [*PRODUCTION.names, *(r.truth for r in df.select("truth").distinct().orderBy("truth").collect() if r.truth is not None and r.truth not in PRODUCTION.names)]
+    metrics.confusion_matrix(df, names).orderBy("truth").show(1000, truncate=False)
     return 0
 
 
@@ -237,7 +281,14 @@ def _label_gold(spark, work, args):
 
 def _all(spark, work, args):
     _stage1(spark, work, args)
-    return _finish(spark, work, args)
+    _sow(spark, work, args.teacher, False)
+    _sow(spark, work, args.teacher, True)
+    _finish(spark, work, args)
+    if not Path(f"{work.gold}/gold_labelled.csv").exists():
+        print("no labelled gold set, so nothing to evaluate")
+        return 0
+    args.labelled = None
+    return _evaluate(spark, work, args)
 
 
 if __name__ == "__main__":

@@ -35,6 +35,12 @@ def keyword_stage2(taxonomy: Taxonomy, text: str = "text_norm") -> Callable[[Dat
     return decide
 
 
+def decide(scored: DataFrame, stage2: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows that stage 1 has scored and routed, with the final domain and ``confidence``: stage 2 sees only its own."""
+    settled = scored.where("route <> 'finegrain'").withColumn("confidence", F.col("score"))
+    return settled.unionByName(stage2(scored.where("route = 'finegrain'")).select(*settled.columns))
+
+
 def classify(df: DataFrame, taxonomy: Taxonomy, scorer, stage2: Callable[[DataFrame], DataFrame], text: str = "english", threshold: float = route.THRESHOLD) -> DataFrame:
     """Every input row once, with all its columns and text_norm, label, score, route, domain, stage, confidence.
 
@@ -46,10 +52,9 @@ def classify(df: DataFrame, taxonomy: Taxonomy, scorer, stage2: Callable[[DataFr
     ready = source.withColumn("text_norm", normalize_for_model(F.col(text)))
     # Both branches below read stage 1's rows: they are stored, or the model would run twice.
     scored = stored(route.apply_routing(scorer.score(ready.where("text_norm <> ''"), "text_norm"), taxonomy, threshold), "stage1")
-    settled = scored.where("route <> 'finegrain'").withColumn("confidence", F.col("score"))
-    decided = stage2(scored.where("route = 'finegrain'"))
+    out = decide(scored, stage2)
     blank = ready.where("text_norm = ''").withColumns({c: F.lit(None).cast("double" if c in ("score", "confidence") else "string") for c in ("label", "score", "route", "domain", "confidence")})
-    out = settled.unionByName(decided.select(*settled.columns)).unionByName(blank.select(*settled.columns))
+    out = out.unionByName(blank.select(*out.columns))
     return out.withColumn("stage", route.stage_of(F.col("route"))).select(*ready.columns, "label", "score", "route", "domain", "stage", "confidence")
 
 

@@ -54,9 +54,27 @@ def _section(df: DataFrame, section: str, item: Column, value: Column) -> DataFr
     return df.select(F.lit(section).alias("section"), item.cast("string").alias("item"), value.cast("string").alias("value"))
 
 
-def run_metadata(df: DataFrame, settings: dict[str, str], generated: str | None = None) -> DataFrame:
-    """section, item, value: one flat report of a run, all of it derived from the run itself."""
+#: What the added columns mean, for the report.
+COLUMN_NOTES = {
+    "english": "the side that is classified",
+    "source_file": "the file that the pair came from",
+    "label": "label of stage 1",
+    "score": "score of stage 1",
+    "route": "direct: one domain claims the label; general: none does; finegrain: stage 2 decides",
+    "domain": "the final domain",
+    "stage": "the stage that decided",
+    "confidence": "score of the stage that decided",
+}
+
+
+def run_metadata(df: DataFrame, settings: dict[str, str], generated: str | None = None, models: dict[str, dict[str, str]] | None = None, seeds: DataFrame | None = None, notes: dict[str, str] | None = None) -> DataFrame:
+    """section, item, value: one flat report of a run, all of it derived from the run itself.
+
+    models: item -> value by section, e.g. of stage 1. seeds: label and text of the student's training rows.
+    notes: of columns; those that ``df`` has are listed.
+    """
     spark = df.sparkSession
+    listed = [("columns", c, note) for c, note in (notes or {}).items() if c in df.columns]
     df = stored(df.select("source_file", "route", "domain", "score"), "report")  # every section reads it
     total = df.agg(F.count("*").alias("n"), F.countDistinct("source_file").alias("sources"), F.round(F.avg("score"), 4).alias("mean"))
     percent = lambda digits: F.concat("n", F.lit(" ("), F.format_string(f"%.{digits}f", F.round(100.0 * F.col("n") / F.col("_total"), digits)), F.lit("%)"))
@@ -65,7 +83,11 @@ def run_metadata(df: DataFrame, settings: dict[str, str], generated: str | None
     for section, column, value in (("rows per file", "source_file", F.col("n")), ("routing", "route", percent(1)), ("domain distribution", "domain", percent(2))):
         counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n")).crossJoin(F.broadcast(all_rows))
         out = out.unionByName(_section(counts, section, F.col(column), value))
-    fixed = [("settings", k, v) for k, v in settings.items()] + ([("run", "generated", generated)] if generated else [])
+    if seeds is not None:
+        counts = seeds.groupBy("label").agg(F.count("*").alias("n"))
+        out = out.unionByName(_section(counts, "seeds per domain", F.col("label"), F.col("n"))).unionByName(_section(seeds.agg(F.count("*").alias("n")), "stage 2", F.lit("seeds"), F.col("n")))
+    fixed = [("settings", k, v) for k, v in settings.items()] + ([("run", "generated", generated)] if generated else []) + listed
+    fixed += [(section, k, v) for section, items in (models or {}).items() for k, v in items.items()]
     return out.unionByName(spark.createDataFrame(fixed, "section string, item string, value string")) if fixed else out
 
 

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from ..session import stored
 
 TOKEN_PATTERN = "[a-z]+"
+#: The n-grams of words and of characters that a student of single sentences uses.
+SENTENCE_SIZE = {"word_ngrams": 5, "chars": (3, 6)}
 
 
 def _tokens(df: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -103,6 +105,18 @@ def train(seeds: DataFrame, folder: str | None = None, **params: object):
     return model
 
 
+def stage2(model, text: str = "text_norm"):
+    """A stage 2 by a trained student: its likeliest label as the domain, and that label's probability."""
+
+    def decide(df: DataFrame) -> DataFrame:
+        names = [c for c in df.columns if c not in ("domain", "confidence")]
+        own = df.select(F.struct(*names).alias("_key"), F.col(text).alias("text"))
+        top = F.get("scores", 0)
+        return ranked(model, own, "_key", 1).select("_key.*", top["label"].alias("domain"), F.round(top["score"], 4).alias("confidence"))
+
+    return decide
+
+
 def ranked(model, df: DataFrame, key: str, k: int | None = None) -> DataFrame:
     """key and scores: the labels with their probabilities, highest first (ties by name), the top ``k`` or all."""
     from pyspark.ml.functions import vector_to_array

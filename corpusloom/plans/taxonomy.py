@@ -61,6 +61,17 @@ class Taxonomy:
                 out.setdefault(label, []).append(d.name)
         return out
 
+    def label_probes(self) -> dict[str, tuple[str, ...]]:
+        """A domain's first label -> the keywords of all domains of which it is the first, each once.
+
+        Keywords can't tell the labels of one domain apart: with the same keywords for each, they would share its score.
+        """
+        out: dict[str, dict[str, None]] = {}
+        for d in self.domains:
+            for label in (*d.whole, *d.partial)[:1]:
+                out.setdefault(label, {}).update(dict.fromkeys(d.probe))
+        return {label: tuple(words) for label, words in out.items() if words}
+
     def direct(self) -> dict[str, str]:
         """Labels that one domain alone claims outright, and that domain."""
         shared = {x for d in self.domains for x in d.partial}

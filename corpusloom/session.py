@@ -39,10 +39,13 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
-def stored(df: DataFrame, what: str) -> DataFrame:
-    """``df`` written as Parquet under a new name in the shared folder, and read back."""
+def stored(df: DataFrame, what: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` written as Parquet under a new name in the shared folder, and read back.
+
+    With ``by`` there is a folder for each of its values, so that a read of one value opens no other's files.
+    """
     path = f"{shared_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 import zipfile
 from pathlib import Path
 
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import corpus, export
 from ..session import stored
-from . import xlsx
+from . import files, xlsx
 
 
 def _rows(df: DataFrame):
@@ -29,7 +28,7 @@ def write_domains(df: DataFrame, meta: DataFrame, folder: str, order: list[str],
     """
     if only:
         df = df.where(F.lower("domain") == only.lower())
-    numbered = stored(export.parts(df, "domain", order, part_rows), "books")
+    numbered = stored(export.parts(df, "domain", order, part_rows).withColumn("_group", F.md5("domain")), "books", ("_group", "part"))
     notes, paths = _meta(meta), []
     Path(folder).mkdir(parents=True, exist_ok=True)
     listed = export.part_list(df, "domain", part_rows).orderBy("domain", "part").collect()
@@ -38,7 +37,7 @@ def write_domains(df: DataFrame, meta: DataFrame, folder: str, order: list[str],
         n, name = count[r.domain], r.domain.lower()
         path = f"{folder}/{name}.xlsx" if n == 1 else f"{folder}/{name}_part{r.part:02d}.xlsx"
         note = [("this part", "contents", f"all {r.rows:,} {r.domain} rows")] if n == 1 else [("this part", "part", f"{r.part} of {n}"), ("this part", "rows", f"{r.first_row:,} - {r.last_row:,}"), ("this part", "other parts", f"{name}_part01..part{n:02d}.xlsx")]
-        rows = numbered.where((F.col("domain") == r.domain) & (F.col("part") == r.part)).orderBy(*order).drop("part").select(*df.columns)
+        rows = numbered.where((F.col("_group") == F.md5(F.lit(r.domain))) & (F.col("part") == r.part)).orderBy(*order).select(*df.columns)
         xlsx.write_book(path, df.columns, _rows(rows), note + notes)
         paths.append(path)
     return paths
@@ -46,7 +45,7 @@ def write_domains(df: DataFrame, meta: DataFrame, folder: str, order: list[str],
 
 def write_chunks(df: DataFrame, meta: DataFrame, folder: str, order: list[str], part_rows: int = export.PART_ROWS) -> list[str]:
     """The corpus in its own order, ``corpus_chunkNN.xlsx`` each of ``part_rows`` rows, noting the domains in it."""
-    numbered = stored(corpus.with_ordinal(df, order).withColumn("chunk", (F.floor(F.col("ordinal") / part_rows) + 1).cast("long")), "books")
+    numbered = stored(corpus.with_ordinal(df, order).withColumn("chunk", (F.floor(F.col("ordinal") / part_rows) + 1).cast("long")), "books", ("chunk",))
     histogram: dict[int, list] = {}
     for r in numbered.where("domain is not null").groupBy("chunk", "domain").count().orderBy("chunk", F.desc("count"), "domain").collect():
         histogram.setdefault(r.chunk, []).append(f"{r.domain} {r['count']:,}")
@@ -68,13 +67,13 @@ def write_summary(df: DataFrame, meta: DataFrame, path: str, part_rows: int = ex
 
 
 def zip_domains(df: DataFrame, path: str, order: list[str]) -> list[str]:
-    """A zip of one workbook per domain and ``_summary.xlsx``; returns the names in it."""
+    """A zip of one workbook per domain and ``_summary.xlsx``, each streamed into it; returns the names in it."""
+    names, own = files.by_domain(df)
+    summary = export.domain_distribution(df).orderBy(F.desc("pairs"), "domain")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        for r in df.where("domain is not null").select("domain").distinct().orderBy("domain").collect():
-            data = io.BytesIO()
-            xlsx.write_book(data, df.columns, _rows(df.where(F.col("domain") == r.domain).orderBy(*order)), sheet=r.domain)
-            z.writestr(f"{r.domain.lower()}.xlsx", data.getvalue())
-        data, summary = io.BytesIO(), export.domain_distribution(df).orderBy(F.desc("pairs"), "domain")
-        xlsx.write_book(data, summary.columns, _rows(summary), sheet="summary")
-        z.writestr("_summary.xlsx", data.getvalue())
+        for name in names:
+            with z.open(f"{name.lower()}.xlsx", "w", force_zip64=True) as f:
+                xlsx.write_book(f, df.columns, _rows(own(name).orderBy(*order)), sheet=name)
+        with z.open("_summary.xlsx", "w") as f:
+            xlsx.write_book(f, summary.columns, _rows(summary), sheet="summary")
         return z.namelist()

@@ -5,12 +5,14 @@ from __future__ import annotations
 import glob
 import os
 import tempfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import corpus, layout
+from ..session import stored
 from . import xlsx
 
 BOM = b"\xef\xbb\xbf"
@@ -102,6 +104,13 @@ def write_splits(df: DataFrame, folder: str) -> None:
     df.where("domain is not null").withColumn("domain_file", F.lower("domain")).write.partitionBy("domain_file").mode("overwrite").parquet(folder)
 
 
+def by_domain(df: DataFrame) -> tuple[list[str], Callable[[str], DataFrame]]:
+    """The domains that have rows, and a domain's rows: the table is dealt out once, then each read alone."""
+    dealt = stored(df.where("domain is not null").withColumn("_group", F.md5("domain")), "domains", ("_group",))
+    names = [r.domain for r in dealt.select("domain").distinct().orderBy("domain").collect()]
+    return names, lambda d: dealt.where(F.col("_group") == F.md5(F.lit(d))).select(*df.columns)
+
+
 def export_csv(df: DataFrame, path: str) -> int:
     """One CSV with header and BOM for people to open, streamed through the driver; returns its rows."""
     import csv
@@ -122,5 +131,5 @@ def export_domains(df: DataFrame, folder: str) -> dict[str, int]:
     Path(folder).mkdir(parents=True, exist_ok=True)
     for old in Path(folder).glob("*.csv"):
         old.unlink()
-    names = [r.domain for r in df.where("domain is not null").select("domain").distinct().orderBy("domain").collect()]
-    return {d: export_csv(df.where(F.col("domain") == d), f"{folder}/{d.lower()}.csv") for d in names}
+    names, own = by_domain(df)
+    return {d: export_csv(own(d), f"{folder}/{d.lower()}.csv") for d in names}

@@ -30,6 +30,11 @@ def test_count_matches_is_a_regex_count(spark, pattern):
     assert all(r.a == r.b for r in got)
 
 
+def test_a_shared_label_has_the_keywords_of_all_its_domains():
+    words = PRODUCTION.label_probes()["Law_and_Government"]
+    assert "ministry" in words and "court" in words and "Internet_and_Telecom" not in PRODUCTION.label_probes()
+
+
 def test_production_taxonomy():
     assert PRODUCTION.names == ["Tech", "Agriculture", "Climate", "Tourism", "Admin", "Health", "Law", "Education", "General"]
     assert PRODUCTION.direct() == {"Computers_and_Electronics": "Tech", "Internet_and_Telecom": "Tech", "Health": "Health", "Jobs_and_Education": "Education"}
@@ -240,3 +245,7 @@ def test_metadata_comes_from_the_run(spark):
     got = {(r.section, r.item): r.value for r in export.run_metadata(df, {"threshold": "0.6"}, "now").collect()}
     assert got[("run", "rows")] == "2" and got[("source", "files")] == "2" and got[("stage 1", "mean score")] == "0.5000"
     assert got[("domain distribution", "A")] == "1 (50.00%)" and got[("run", "generated")] == "now"
+    own = spark.createDataFrame([("A", "x"), ("A", "y"), ("B", "z")], "label string, text string")
+    got = {(r.section, r.item): r.value for r in export.run_metadata(df, {}, None, {"stage 1": {"model": "m"}}, own, export.COLUMN_NOTES).collect()}
+    assert got[("stage 1", "model")] == "m" and got[("stage 2", "seeds")] == "3" and got[("seeds per domain", "A")] == "2"
+    assert ("columns", "route") in got and ("columns", "english") not in got

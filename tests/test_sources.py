@@ -117,6 +117,22 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     assert (tmp_path / "w/gold/gold_to_label.csv").exists() and (tmp_path / "w/classified.csv").exists()
     (tmp_path / "gold.csv").write_text("truth,pred,part\nA,A,random\nB,A,random\n")
     assert run("evaluate", f"{tmp_path}/gold.csv") == 0
+    (tmp_path / "w/seeds").mkdir()
+    words = {"Tech": "software computer", "Law": "court tribunal", "Admin": "ministry notice"}
+    (tmp_path / "w/seeds/mine.txt").write_text("\n".join(f"__label__{d} the {w} number {i}" for d, w in words.items() for i in range(6)), encoding="utf-8")
+    assert run("finish", "--no-combined") == 0
+    got = {r.english: r for r in spark.read.parquet(f"{tmp_path}/w/classified").collect()}
+    assert len(got) == 4 and got[texts[2]].domain == "Law" and got[texts[2]].route == "finegrain" and got[texts[2]].confidence < 1
+    (tmp_path / "gold_rows.csv").write_text("english,part,domain\n" + f"{texts[2]},random,Law\n{texts[0]},recall:Law,Tech\n{texts[1]},random,\n")
+    before = capsys.readouterr().out
+    assert run("evaluate", f"{tmp_path}/gold_rows.csv") == 0
+    report = capsys.readouterr().out
+    assert "recall" in report and "no seeds" not in report and "|Law  |" in report
+    assert run("status") == 0 and "Admin" in capsys.readouterr().out
+    (tmp_path / "always_law.py").write_text("def connect():\n    return lambda prompt: 'Law'\n")
+    spark.sparkContext.addPyFile(f"{tmp_path}/always_law.py")
+    assert run("seed", "--teacher", "always_law:connect") == 0 and "4 seeds added" in capsys.readouterr().out
+    assert run("seed-targeted", "--teacher", "always_law:connect") == 0 and "0 seeds added" in capsys.readouterr().out
     for out in ("p.csv", "p.xlsx", "p.zip"):
         assert run("predict-file", f"{tmp_path}/in/a.csv", "--out", f"{tmp_path}/{out}") == 0
     assert len(xlsx.read_rows(f"{tmp_path}/p.xlsx")) == 5 and (tmp_path / "p.csv").read_text(encoding="utf-8-sig").count("\n") == 5
@@ -126,4 +142,4 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     assert run("label-gold") == 0
     monkeypatch.setattr("sys.stdin", io.StringIO("2\nq\n"))
     assert run("label-gold") == 0
-    assert "stage 1 (direct)" in (said := capsys.readouterr().out) and "2 labelled" in said and "3 labelled" in said
+    assert "stage 1 (direct)" in (said := before + capsys.readouterr().out) and "2 labelled" in said and "3 labelled" in said
