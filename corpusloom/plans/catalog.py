@@ -37,10 +37,6 @@ def _quoted(x: object) -> str:
     return "NULL" if x is None else "'" + str(x).replace("'", "''") + "'"
 
 
-def _values(rows: list[tuple], names: str) -> str:
-    return f"(VALUES {', '.join('(' + ', '.join(x if isinstance(x, str) and x.isdigit() else _quoted(x) for x in r) + ')' for r in rows)}) AS v({names})"
-
-
 def _in(names) -> str:
     return "(" + ", ".join(map(_quoted, names)) + ")"
 
@@ -157,7 +153,35 @@ def finegrain_rows(spark, sf_dir):
     return routed(spark, sf_dir).where("route = 'finegrain'").select("row_id", "label")
 
 
-@query("SELECT label, outcome, domain, claimed_by FROM " + _values(PRODUCTION.routing_rows(), "label, outcome, domain, claimed_by"))
+# The expected routing and prompt of the production taxonomy, written out rather than derived from it.
+_EXPECTED_ROUTING = """WITH claimed(label, outcome, domain, claimed_by) AS (VALUES
+('Computers_and_Electronics', 'direct', 'Tech', 'Tech'), ('Internet_and_Telecom', 'direct', 'Tech', 'Tech'),
+('Health', 'direct', 'Health', 'Health'), ('Jobs_and_Education', 'direct', 'Education', 'Education'),
+('Law_and_Government', 'ambiguous', NULL, 'Admin/Law'), ('Business_and_Industrial', 'ambiguous', NULL, 'Agriculture'),
+('Food_and_Drink', 'ambiguous', NULL, 'Agriculture'), ('Science', 'ambiguous', NULL, 'Climate'),
+('Travel_and_Transportation', 'ambiguous', NULL, 'Tourism')),
+unclaimed(label) AS (VALUES ('Adult'), ('Arts_and_Entertainment'), ('Autos_and_Vehicles'), ('Beauty_and_Fitness'), ('Books_and_Literature'),
+('Finance'), ('Games'), ('Hobbies_and_Leisure'), ('Home_and_Garden'), ('News'), ('Online_Communities'), ('People_and_Society'),
+('Pets_and_Animals'), ('Real_Estate'), ('Sensitive_Subjects'), ('Shopping'), ('Sports'))
+SELECT * FROM claimed UNION ALL SELECT label, 'general', 'General', '' FROM unclaimed"""
+
+_EXPECTED_PROMPT = """Classify this English sentence into exactly one domain.
+
+- Tech: computing, software, electronics, telecom, the internet
+- Agriculture: farming, crops, livestock, irrigation, food production
+- Climate: weather, environment, climate change, natural disasters
+- Tourism: travel, hospitality, destinations, heritage sites, trekking
+- Admin: government administration and public services - an office issuing, registering, applying or announcing something
+- Health: medicine, disease, treatment, hospitals, public health
+- Law: legislation, courts and legal process - a statute, a case, a judgment, a legal right or obligation
+- Education: schooling, teaching, curriculum, examinations, academia
+- General: everything else - ordinary prose that fits no domain above
+
+Reply with only the domain name, nothing else.
+Sentence: {sent}"""
+
+
+@query(_EXPECTED_ROUTING)
 def routing_table(spark, sf_dir):
     """From the taxonomy's table: claims inverted, then joined with all labels."""
     claims = PRODUCTION.table(spark).select("domain", "ordinal", F.explode(F.concat(F.transform("whole", lambda x: F.struct(x.alias("label"), F.lit(0).alias("partial"))), F.transform("partial", lambda x: F.struct(x.alias("label"), F.lit(1).alias("partial"))))).alias("c"))
@@ -169,7 +193,7 @@ def routing_table(spark, sf_dir):
     return labels.join(by_label, "label", "left").select("label", outcome.alias("outcome"), domain.alias("domain"), F.coalesce(F.array_join("who", "/"), F.lit("")).alias("claimed_by"))
 
 
-@query("SELECT 'Classify this English sentence into exactly one domain.' || chr(10) || chr(10) || string_agg('- ' || domain || ': ' || description, chr(10) ORDER BY n::INT) || chr(10) || chr(10) || 'Reply with only the domain name, nothing else.' || chr(10) || 'Sentence: {sent}' AS prompt FROM " + _values([(str(i), d.name, d.description) for i, d in enumerate(PRODUCTION.domains)], "n, domain, description"))
+@query(f"SELECT {_quoted(_EXPECTED_PROMPT)} AS prompt")
 def prompt_text(spark, sf_dir):
     return spark.createDataFrame([(PRODUCTION.prompt(),)], "prompt string")
 
@@ -217,13 +241,12 @@ def union_sources(spark, sf_dir):
     return corpus.union_sources({"documents": docs, "benchmark": table(spark, sf_dir, "benchmark").select(F.col("text").alias("english"))})
 
 
-@query()
+@query("SELECT * FROM (VALUES ('id', 'c0'), ('english', 'c2'), ('target', 'c1')) AS v(role, \"column\")")
 def resolve_columns(spark, sf_dir):
-    """role, column: of a frame whose headers say nothing, an id, an English and a German column."""
-    docs = table(spark, sf_dir, "documents").withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("doc_id"))).where("n <= 500")
-    side = lambda lang, name: docs.where(F.col("lang") == lang).select("n", F.col("text").alias(name))
-    frame = side("de", "c1").join(side("en", "c2"), "n").withColumn("c0", F.concat(F.lit("r"), "n"))
-    found = layout.resolve_columns(frame.select("n", "c0", "c1", "c2"), "n")
+    """role, column: of a frame whose headers say nothing, an id, a German and an English column, gaps included."""
+    side = lambda lang: F.when(F.col("lang") == lang, F.col("text"))
+    frame = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("r"), "doc_id").alias("c0"), side("de").alias("c1"), side("en").alias("c2"))
+    found = layout.resolve_columns(frame, "doc_id")
     return spark.createDataFrame(sorted(found.items()), "role string, column string")
 
 
