@@ -81,10 +81,12 @@ def templates(docs: DataFrame, lines: DataFrame, similarity: int, min_docs: int)
         judged = groups.where((F.col("total") >= min_docs) & mostly(F.col("possible"), F.col("size"))).withColumn("likely", mostly(F.col("constant"), F.col("size")))
         judged = common.cut(judged.where("likely or split is not null").select(F.col("group").alias("_group"), "likely", "constant", (-F.col("split.at")).alias("split"), F.when(F.col("likely"), F.col("template")).alias("template")))
         agree = F.size(F.filter(F.zip_with("tokens", "template", lambda a, b: F.coalesce(a == b, F.lit(False))), lambda x: x))
-        here = lines.join(judged, F.col("group") == F.col("_group")).withColumn("member", F.col("likely") & mostly(agree, F.col("constant"))).withColumn("token", F.when(~F.col("likely"), F.get("tokens", F.col("split"))))
-        frequent = common.cut(here.where("not likely").groupBy("group", "token").agg(F.sum("n").alias("total")).where(F.col("total") >= min_docs).select(F.col("group").alias("_of"), F.col("token").alias("_token")))
-        placed = here.join(frequent, (F.col("group") == F.col("_of")) & (F.col("token") == F.col("_token")), "left")
-        into = F.when(F.col("member"), F.col("group")).when(F.col("likely"), F.xxhash64("group")).otherwise(F.xxhash64("group", "split", "_token"))
+        here = lines.join(judged, F.col("group") == F.col("_group")).withColumn("member", F.col("likely") & mostly(agree, F.col("constant")))
+        # The next group is a key of its own: by group and token, Spark would keep the join's partitioning, and couldn't split a hot group.
+        here = here.withColumn("next", F.when(~F.col("likely"), F.xxhash64("group", "split", F.get("tokens", F.col("split")))))
+        frequent = common.cut(here.where("not likely").groupBy("next").agg(F.sum("n").alias("total")).where(F.col("total") >= min_docs).select(F.col("next").alias("_next")))
+        placed = here.join(frequent, F.col("next") == F.col("_next"), "left")
+        into = F.when(F.col("member"), F.col("group")).when(F.col("likely"), F.xxhash64("group")).otherwise(F.coalesce("_next", F.xxhash64("group", "split")))
         placed = common.cut(placed.select(into.alias("group"), "key", "n", "tokens", "member"))
         done.append(placed.where("member").select("key", "group"))
         lines = placed.where("not member").drop("member")
