@@ -432,9 +432,14 @@ def student_folds(spark, sf_dir):
     return student.cross_validate(rows, "doc_id")
 
 
+#: Labelled documents of each label that the softmax is trained on, at most; it is applied to all of the fifth fold.
+STUDENT_ROWS_PER_LABEL = 1000
+
+
 def _ml(spark, sf_dir):
     rows = metrics.assign_folds(judged(spark, sf_dir), "truth", "doc_id").select("doc_id", "text", F.col("truth").alias("label"), "fold")
-    model = student.train(rows.where("fold <> 0").select("text", "label"))
+    own = seeds.sample_per(rows.where("fold <> 0"), "label", STUDENT_ROWS_PER_LABEL, "doc_id").repartition(spark.sparkContext.defaultParallelism, "doc_id")
+    model = student.train(stored(own.select("text", "label"), "sample"))
     return model, rows.where("fold = 0").select("doc_id", "text")
 
 
