@@ -28,6 +28,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_anew(df: DataFrame) -> DataFrame:
+    """Like ``cut``, for tables that a loop makes out of themselves: Spark forgets how large it took ``df`` to be.
+
+    A checkpoint keeps its plan's estimate, and that of a join is the product of its sides, so that in a loop
+    with joins the number's digits multiply in each round, until the driver's memory can't hold it.
+    """
+    kept = cut(df)._jdf
+    spark = df.sparkSession
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(kept.queryExecution().logical().rdd(), kept.schema(), False), spark)
+
+
 #: ``written(df, name)``: df written as Parquet under a new name in the shared folder, and read back.
 written = stored
 

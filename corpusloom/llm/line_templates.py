@@ -67,7 +67,7 @@ def templates(docs: DataFrame, lines: DataFrame, similarity: int, min_docs: int)
     """
     counts = common.cut(lines.groupBy("leaf", "key").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")))
     leaves = counts.groupBy("leaf").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).where((F.col("kinds") > 1) & (F.col("total") >= min_docs)).select("leaf")
-    lines = common.cut(_texts(docs, counts.join(common.cut(leaves), "leaf")))
+    lines = common.cut_anew(_texts(docs, counts.join(common.cut(leaves), "leaf")))
     mostly = lambda part, whole: part * 100 >= whole * similarity
     done = []
     while True:
@@ -87,7 +87,7 @@ def templates(docs: DataFrame, lines: DataFrame, similarity: int, min_docs: int)
         frequent = common.cut(here.where("not likely").groupBy("next").agg(F.sum("n").alias("total")).where(F.col("total") >= min_docs).select(F.col("next").alias("_next")))
         placed = here.join(frequent, F.col("next") == F.col("_next"), "left")
         into = F.when(F.col("member"), F.col("group")).when(F.col("likely"), F.xxhash64("group")).otherwise(F.coalesce("_next", F.xxhash64("group", "split")))
-        placed = common.cut(placed.select(into.alias("group"), "key", "n", "tokens", "member"))
+        placed = common.cut_anew(placed.select(into.alias("group"), "key", "n", "tokens", "member"))
         done.append(placed.where("member").select("key", "group"))
         lines = placed.where("not member").drop("member")
         if lines.isEmpty():

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from corpusloom.llm import chunk_dedup, common, line_templates
 
@@ -55,6 +56,38 @@ def test_a_leaf_may_hold_several_templates(frame):
         assert (got[d].n_dropped, got[d].text) == ((1, "") if gone else (0, line)), (d, line)
 
 
+def chain(rng):
+    """Lines of one leaf that take a round for each of 14 positions, before a template of 12 of them shows."""
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(8))
+    fixed = [f"fixed{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(30)]
+    out = []
+    for p in range(14):
+        for _ in range(30):
+            loose = [word() for _ in range(20)]
+            loose[p] = f"family{chr(97 + p)}"
+            out.append((len(out), " ".join(fixed + loose), False))
+    for i in range(12):
+        out.append((len(out), " ".join([*fixed, *(word() for _ in range(14)), *(f"late{c}" for c in "abcdef")]), i > 0))
+    return out
+
+
+def test_many_rounds(frame):
+    """Estimates of the rounds' tables must not grow with a power of the rounds: the driver held numbers of gigabits."""
+    rows = chain(random.Random(7))
+    got = {r.doc_id: r.n_dropped for r in line_templates.drop_recurring_lines(frame([(d, x) for d, x, _ in rows])).collect()}
+    assert got == {d: int(gone) for d, _, gone in rows}
+
+
+def test_estimates_are_forgotten(spark):
+    df = spark.range(5).withColumnRenamed("id", "k")
+    bits = []
+    for _ in range(4):
+        df = common.cut_anew(df.join(common.cut(spark.range(5)), F.col("k") == F.col("id")).select("k"))
+        assert sorted(r.k for r in df.collect()) == [0, 1, 2, 3, 4]
+        bits.append(int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()).bit_length())
+    assert len(set(bits)) == 1
+
+
 def test_fewer_documents_than_the_bound_stay(frame):
     rows = [(i, f"Same line here\nown line {chr(97 + i) * 5}") for i in range(line_templates.MIN_DOCS - 1)]
     assert all(r.n_dropped == 0 for r in line_templates.drop_recurring_lines(frame(rows)).collect())
