@@ -88,6 +88,26 @@ def test_estimates_are_forgotten(spark):
     assert len(set(bits)) == 1
 
 
+def test_bounds_of_broadcasts_and_places_change_no_result(frame, monkeypatch):
+    rows = families(random.Random(4)) + [(None, "It is a rare line about nobody and the old house", False)]
+    docs = frame([(d, x) for d, x, _ in rows])
+    take = lambda: sorted(str((r.doc_id, r.text, r.n_dropped)) for r in line_templates.drop_recurring_lines(docs).collect())
+    want = take()
+    monkeypatch.setattr(line_templates, "BROADCAST_ROWS", 3)
+    assert take() == want
+    monkeypatch.setattr(line_templates, "PLACES", 0)
+    assert take() == want
+
+
+def test_the_sieve_keeps_what_was_chosen_and_little_else(spark):
+    rows = spark.range(3000).select((F.col("id") * 7).alias("doc_id"), F.unhex(F.md5(F.col("id").cast("string"))).alias("key"))
+    chosen = common.cut(rows.where("doc_id % 10 = 0").select(F.col("key").alias("_key"), F.col("doc_id").alias("first")))
+    n = chosen.count()
+    got = [r.doc_id for r in line_templates._sieve(rows, chosen, n).collect()]
+    assert len(got) == len(set(got)) and {7 * i for i in range(0, 3000, 10)} <= set(got)
+    assert len(got) - n < (3000 - n) / 10
+
+
 def test_fewer_documents_than_the_bound_stay(frame):
     rows = [(i, f"Same line here\nown line {chr(97 + i) * 5}") for i in range(line_templates.MIN_DOCS - 1)]
     assert all(r.n_dropped == 0 for r in line_templates.drop_recurring_lines(frame(rows)).collect())
