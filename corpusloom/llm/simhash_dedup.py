@@ -127,16 +127,16 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """fp and root of each node: the least node (as a signed long) that can be reached from it.
 
     Each round takes the least root among a node and its neighbours, then follows roots once, until
-    nothing changes; a round's table is stored in the shared folder.
+    nothing changes; a round's table is stored in the shared folder, without its size estimate.
     """
-    both = common.cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    both = common.cut_anew(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     linked = both.select(F.col("a").alias("fp")).distinct()
-    roots = common.cut(both.groupBy(F.col("a").alias("fp")).agg(F.least(F.first("a"), F.min("b")).alias("root")))
+    roots = common.cut_anew(both.groupBy(F.col("a").alias("fp")).agg(F.least(F.first("a"), F.min("b")).alias("root")))
     while True:
         told = both.join(roots.select(F.col("fp").alias("b"), "root"), "b").select(F.col("a").alias("fp"), "root")
         least = roots.select("fp", "root").union(told).groupBy("fp").agg(F.min("root").alias("root"))
         hop = roots.select(F.col("fp").alias("root"), F.col("root").alias("next"))
-        new = common.cut(least.join(hop, "root", "left").select("fp", F.least("root", F.coalesce("next", "root")).alias("root")))
+        new = common.cut_anew(least.join(hop, "root", "left").select("fp", F.least("root", F.coalesce("next", "root")).alias("root")))
         changed = new.join(roots.withColumnRenamed("root", "old"), "fp").where("root <> old").limit(1).count()
         roots = new
         if not changed:
@@ -153,7 +153,7 @@ def link(fps: DataFrame, distance: int = DISTANCE, slabs: int | None = None) ->
     least = grid.groupBy("cell").agg(F.min("fp").alias("hub"), F.count("*").alias("n")).where("n > 1").select("cell", "hub")
     least = common.cut(least)
     stars = grid.join(least.hint("merge"), "cell").where((F.col("fp") != F.col("hub")) & _near(F.col("fp"), F.col("hub"), distance)).select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
-    rough = common.cut(components(fps, stars))
+    rough = common.cut_anew(components(fps, stars))
     points = common.cut(cells(rough, distance, slabs).join(least.select("cell").hint("merge"), "cell", "left_semi"))
     mixed = points.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("cell")
     points = common.cut(points.join(common.cut(mixed), "cell", "left_semi"))
@@ -166,8 +166,8 @@ def link(fps: DataFrame, distance: int = DISTANCE, slabs: int | None = None) ->
         return rough
     roots = rough.select(F.col("root").alias("fp")).distinct()
     # Stored, like all that is joined on a root, so that a large component's rows can be split.
-    final = common.cut(components(roots, more).withColumnsRenamed({"fp": "r", "root": "top"}))
-    return common.cut(rough.join(final, rough["root"] == final["r"]).select(rough["fp"], F.col("top").alias("root")))
+    final = common.cut_anew(components(roots, more).withColumnsRenamed({"fp": "r", "root": "top"}))
+    return common.cut_anew(rough.join(final, rough["root"] == final["r"]).select(rough["fp"], F.col("top").alias("root")))
 
 
 def near_duplicates(docs: DataFrame, distance: int = DISTANCE, slabs: int | None = None) -> DataFrame:

@@ -73,6 +73,17 @@ def test_links_equal_brute_force(spark):
         check(fps, want, S.link(spark.createDataFrame([(f,) for f in fps], "fp long"), slabs=slabs))
 
 
+def test_estimates_do_not_grow_with_rounds(spark):
+    """Longer chains take more rounds; the size that Spark assumes doubled its digits in each, on the driver."""
+    bits = []
+    for n in (3, 40):
+        nodes = spark.range(n).withColumnRenamed("id", "fp")
+        got = S.components(nodes, spark.createDataFrame([(i, i + 1) for i in range(n - 1)], "a long, b long"))
+        assert sorted((r.fp, r.root) for r in got.collect()) == [(i, 0) for i in range(n)]
+        bits.append(int(got._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()).bit_length())
+    assert max(bits) < 1000 and abs(bits[0] - bits[1]) < 8
+
+
 def check(fps, want, linked):
     got = {r.fp: r.root for r in linked.collect()}
     assert len(got) == len(fps)
