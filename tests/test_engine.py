@@ -1,3 +1,4 @@
+import hashlib
 import math
 
 import pytest
@@ -234,6 +235,20 @@ def test_scores_of_naive_bayes_are_worked_out_once(spark):
     assert predicted._jdf.queryExecution().optimizedPlan().toString().count("as double) * gain") == 1
 
 
+def test_folds_put_no_label_into_one_task(spark):
+    df = spark.range(4000).select(F.col("id").alias("k"), F.when(F.col("id") % 10 == 0, "rare").when(F.col("id") == 1, "single").otherwise("common").alias("label"))
+    keys = {"rare": [k for k in range(4000) if k % 10 == 0], "common": [k for k in range(4000) if k % 10 and k != 1]}
+    want = {k: i % 5 for own in keys.values() for i, k in enumerate(sorted(own, key=lambda k: (hashlib.md5(f"7:{k}".encode()).hexdigest(), k)))}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = metrics.assign_folds(df, "label", "k").withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {r.k: r.fold for r in got} == want
+    tasks = [r.task for r in got]
+    assert max(map(tasks.count, set(tasks))) < 0.5 * len(tasks)
+
+
 def test_ml_student_is_kept_by_its_seeds(spark, tmp_path):
     rows = [("x", f"red apple {i}") for i in range(12)] + [("y", f"green grass {i}") for i in range(12)]
     df = spark.createDataFrame(rows, "label string, text string")
